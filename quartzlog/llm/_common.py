@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 #: Whitespace of the contracts: space and 0x09-0x0D.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes that are no ASCII letter or digit and no part of a longer UTF-8 character.
+PUNCT = np.ones(256, bool)
+PUNCT[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 R = np.uint64(0x9E3779B97F4A7C15 | 5)
@@ -89,20 +92,25 @@ def prefix_hash(body: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_hashes(body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words (runs of non-space bytes, A-Z lower-cased) of texts, in order, and each text's number of words."""
-    if not len(body):
-        return np.empty(0, np.uint64), np.zeros(len(at) - 1, np.int64)
-    body = LOWER[body]
-    word = ~SPACE[body]
+def word_spans(body: np.ndarray, at: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each word: a run of bytes not in `gap`; a word ends with its text."""
+    word = ~gap[body]
     begins = word.copy()
     begins[1:] &= ~word[:-1]
     inner = at[1:-1][(at[1:-1] > 0) & (at[1:-1] < len(body))]
-    begins[inner] = word[inner]  # a word ends with its text
+    begins[inner] = word[inner]
     ends = word.copy()
     ends[:-1] &= ~word[1:]
     ends[inner - 1] = word[inner - 1]
-    begin, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def word_hashes(body: np.ndarray, at: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of texts (A-Z lower-cased), in order, and each text's number of words."""
+    if not len(body):
+        return np.empty(0, np.uint64), np.zeros(len(at) - 1, np.int64)
+    body = LOWER[body]
+    begin, end = word_spans(body, at, gap)
     sums = prefix_hash(body)
     _, down = powers(len(body))
     with np.errstate(over="ignore"):
@@ -113,3 +121,15 @@ def word_hashes(body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def crc_mod(ids: pa.Array, modulus: int) -> np.ndarray:
     """crc32 of each id as decimal text, modulo; a null id counts as empty text."""
     return np.fromiter((zlib.crc32(b"" if i is None else b"%d" % i) % modulus for i in ids.to_pylist()), np.int64, len(ids))
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, left_out: int, bound: int) -> DataFrame:
+    """doc_id, text, label of at most `bound` labelled training rows: those of lowest hashed id, so at most `bound` ids are broadcast.
+
+    A row trains if its id and 0/1 label are not null and crc32(id as text) mod modulus is not left_out; of several
+    labels for an id the largest counts.
+    """
+    ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
+    ids = ids.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus != left_out).groupBy("doc_id").agg(F.max("label").alias("label"))
+    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    return docs.join(F.broadcast(chosen), "doc_id")
