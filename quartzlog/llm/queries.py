@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, quality, topk, toxicity
+from . import chat, exact_dedup, lm, quality, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -39,7 +43,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_quality, op8_chat_format, op9_toxicity, op10_topk)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_lm_score, op3_quality, op8_chat_format, op9_toxicity, op10_topk)}
 
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
