@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Whitespace of the contracts: space and 0x09-0x0D.
@@ -23,11 +23,17 @@ R_INV = np.uint64(pow(int(R), -1, 1 << 64))
 _powers = {}
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Checkpoint df (eagerly) in the cluster's shared folder; a temporary folder only where none is configured."""
-    sc = df.sparkSession.sparkContext
+def durable_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder for cut lineage; a temporary folder only where none is configured."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Checkpoint df (eagerly) in the shared folder."""
+    durable_dir(df.sparkSession)
     return df.checkpoint()
 
 

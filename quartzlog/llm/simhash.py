@@ -187,3 +187,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of docs that name their component, with all their columns; rows of null id stay."""
+    found = near_duplicates(docs, id_col, text_col, distance, shingle)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
