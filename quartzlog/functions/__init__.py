@@ -1,0 +1 @@
+"""Scalar language of predicates."""

@@ -1,0 +1 @@
+"""Where logs and files are kept."""
