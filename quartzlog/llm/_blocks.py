@@ -1,6 +1,6 @@
 """Blocks of documents and exchanges between blocks and key buckets.
 
-Corpus statistics over billions of n-grams do not travel as rows. A block (some tens of MB of text) sends each bucket of
+Corpus statistics over billions of n-grams do not travel as rows. A block (some MB of text) sends each bucket of
 the key space one row with its distinct keys as a packed array; the bucket's owner merges the blocks' arrays and answers
 each block in the order in which it asked. Whatever a key's frequency, a block sends it once, so no key makes a hot task.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ._common import durable, pick, raw
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
 PACKED = "block long, ids binary, payload binary"
 
 
@@ -28,19 +28,22 @@ def expand(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
+def put_block(ids: pa.Array, body: np.ndarray, at: np.ndarray) -> tuple[bytes, bytes]:
+    null = np.asarray(ids.is_null()).astype(np.uint8)
+    return null.tobytes() + np.asarray(ids.fill_null(0)).astype("<i8").tobytes(), zstandard.ZstdCompressor(level=3).compress(np.diff(at).astype("<i8").tobytes() + body.tobytes())
+
+
 def _pack(block_bytes: int):
     def run(batches):
         key = TaskContext.get().partitionId() << 24
         for batch in batches:
             body, at = raw(batch.column("text"))
-            ids, n = batch.column("doc_id"), len(batch)
-            null = np.asarray(ids.is_null())
-            values = np.asarray(ids.fill_null(0)).astype("<i8")
+            n = len(batch)
             parts = max(1, -(-len(body) // block_bytes))
             cuts = np.unique([0, n, *np.searchsorted(at, np.arange(1, parts) * len(body) // parts)])
             for a, b in zip(cuts[:-1], cuts[1:]):
-                sizes = np.diff(at[a : b + 1]).astype("<i8")
-                yield pa.RecordBatch.from_pydict({"block": pa.array([key], pa.int64()), "ids": pa.array([null[a:b].astype(np.uint8).tobytes() + values[a:b].tobytes()], pa.binary()), "payload": pa.array([squeeze(sizes.tobytes() + body[at[a] : at[b]].tobytes())], pa.binary())})
+                ids, payload = put_block(batch.column("doc_id").slice(a, b - a), body[at[a] : at[b]], at[a : b + 1] - at[a])
+                yield pa.RecordBatch.from_pydict({"block": pa.array([key], pa.int64()), "ids": pa.array([ids], pa.binary()), "payload": pa.array([payload], pa.binary())})
                 key += 1
 
     return run

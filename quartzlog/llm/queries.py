@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, lm, mixing, packing, quality, simhash, topk, toxicity
+from . import chat, exact_dedup, lm, mixing, packing, quality, simhash, substring_dedup, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -62,7 +66,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_lm_score, op3_quality, op4_packing, op6_simhash, op7_mixing, op8_chat_format, op9_toxicity, op10_topk)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_lm_score, op3_quality, op4_packing, op5_substring_dedup, op6_simhash, op7_mixing, op8_chat_format, op9_toxicity, op10_topk)}
 
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
