@@ -5,6 +5,10 @@ at RADIUS or fewer differing bits are linked. With s segments, two linked finger
 of some segment, so looking up the Hamming ball of that radius around each segment's value in a table keyed by segment
 value finds every link; complete distances are verified. Only distinct fingerprints take part: copies meet before.
 
+A fingerprint may have several 64-bit words (the hashes are mixed anew for each), which tells texts of lower similarity
+apart from chance. Then `reach`, the radius of the balls, is usually set below the one that finds every link: a pair that
+differs in a share p of the bits is found unless all segments differ in more than `reach` bits.
+
 Table and probes are dealt by a segment's leading bits. Balls over the trailing bits are enumerated inside the task;
 only flips of leading bits travel, as rows. A task reduces its verified links to a spanning forest before it emits them,
 so that a group of near copies yields as many rows as members, not as pairs. Components come from alternating
@@ -23,41 +27,52 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import durable, partitions, pick, raw
+from ._common import durable, mix, partitions, pick, raw
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 PROBES = 1 << 20
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    words = text.lower().split()  # of bytes: A-Z and ASCII white space only
-    if not words:
-        return 0
-    n = max(1, len(words) - shingle + 1)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
+def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED, words: int = 1) -> list[int]:
+    """The fingerprint's words; the first one is the plain fingerprint."""
+    parts = text.lower().split()  # of bytes: A-Z and ASCII white space only
+    if not parts:
+        return [0] * words
+    n = max(1, len(parts) - shingle + 1)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+    joined, digest = b" ".join(parts), xxhash.xxh64_intdigest
     begin = np.concatenate([[0], ends[: n - 1]]).tolist()
-    end = (ends[min(shingle, len(words)) - 1 :][:n] - 1).tolist()
-    hashed = np.fromiter((digest(joined[a:b], seed) for a, b in zip(begin, end)), ">u8", n)
-    bits = np.unpackbits(hashed.view(np.uint8).reshape(n, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(bits * 2 > n).tobytes(), "big")
+    end = (ends[min(shingle, len(parts)) - 1 :][:n] - 1).tolist()
+    hashed = np.fromiter((digest(joined[a:b], seed) for a, b in zip(begin, end)), np.uint64, n)
+    out = []
+    for k in range(words):
+        with np.errstate(over="ignore"):
+            own = mix(hashed + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15)) if k else hashed
+        bits = np.unpackbits(own.astype(">u8").view(np.uint8).reshape(n, 8), axis=1).sum(0, dtype=np.int64)
+        out.append(int.from_bytes(np.packbits(bits * 2 > n).tobytes(), "big"))
+    return out
+
+
+def columns(words: int) -> list[str]:
+    return [f"w{k}" for k in range(words)]
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) for every row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, words: int = 1) -> DataFrame:
+    """doc_id, fp (names the fingerprint: itself if of one word, else a hash of its words), w0, w1, ... (signed longs)."""
 
     def run(batches):
         for batch in batches:
             body, at = raw(batch.column("text"))
             body = body.tobytes()
-            found = np.array([fingerprint(body[a:b], shingle) for a, b in zip(at[:-1].tolist(), at[1:].tolist())], np.uint64)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fp": pa.array(found.view(np.int64), pa.int64())})
+            found = np.array([fingerprint(body[a:b], shingle, SEED, words) for a, b in zip(at[:-1].tolist(), at[1:].tolist())], np.uint64).reshape(-1, words).view(np.int64)
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")} | {c: pa.array(found[:, k], pa.int64()) for k, c in enumerate(columns(words))})
 
-    return pick(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    rows = pick(docs, id_col, text_col).mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in columns(words)))
+    return rows.withColumn("fp", F.col("w0") if words == 1 else F.xxhash64(*columns(words)))
 
 
 def layout(segments: int) -> list[tuple[int, int]]:
-    """(shift, bits) of each segment."""
+    """(shift, bits) of the segments of a word."""
     edges = [64 * i // segments for i in range(segments + 1)]
     return [(a, b - a) for a, b in zip(edges[:-1], edges[1:])]
 
@@ -84,42 +99,39 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return root
 
 
-def _deal(segments: int, lead: int, radius: int):
-    """Each fingerprint once per segment (own) and once per flip of leading bits: (route, key, fp, left), left the radius that remains."""
+def _deal(words: int, segments: int, lead: int, radius: int):
+    """Each fingerprint once per segment (own) and once per flip of leading bits: route, key, left (the radius that remains), fp, words."""
 
     def run(batches):
         for batch in batches:
-            fp = batch.column("fp").to_numpy().view(np.uint64)
-            routes, keys, fps, rest = [], [], [], []
-            for s, (shift, bits) in enumerate(layout(segments)):
-                value = (fp >> np.uint64(shift)) & np.uint64((1 << bits) - 1)
-                trail = np.uint64(bits - lead)
-                for mask in ball(lead, radius):
-                    key = value ^ (mask << trail)
-                    routes.append((key >> trail).astype(np.int64) + (s << lead))
-                    keys.append(key.astype(np.int64) + (s << 40))
-                    fps.append(fp.view(np.int64))
-                    rest.append(np.full(len(fp), radius - int(mask).bit_count(), np.int32))
-            for part in zip(routes, keys, fps, rest):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in part], ["route", "key", "fp", "left"])
+            own = [batch.column(c) for c in ("fp", *columns(words))]
+            for w, column in enumerate(own[1:]):
+                value = column.to_numpy().view(np.uint64)
+                for s, (shift, bits) in enumerate(layout(segments)):
+                    part, trail, number = (value >> np.uint64(shift)) & np.uint64((1 << bits) - 1), np.uint64(bits - lead), w * segments + s
+                    for mask in ball(lead, radius):
+                        key = part ^ (mask << trail)
+                        dealt = (key >> trail).astype(np.int64) + (number << lead), key.astype(np.int64) + (number << 40), np.full(len(batch), radius - int(mask).bit_count(), np.int32)
+                        yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in dealt), *own], ["route", "key", "left", "fp", *columns(words)])
 
     return run
 
 
-def _match(segments: int, lead: int, radius: int, distance: int):
+def _match(words: int, segments: int, lead: int, radius: int, distance: int):
     """Table lookups of one partition and its verified links as a spanning forest: (a, b), b the smaller fingerprint."""
 
     def run(batches):
-        got = [(b.column("key").to_numpy(), b.column("fp").to_numpy(), b.column("left").to_numpy()) for b in batches if len(b)]
+        got = [[b.column(c).to_numpy() for c in ("key", "left", "fp", *columns(words))] for b in batches if len(b)]
         if not got:
             return
-        key, fp, left = (np.concatenate(x) for x in zip(*got))
+        key, left, fp, *value = (np.concatenate(x) for x in zip(*got))
         del got
         own = np.flatnonzero(left == radius)
         own = own[np.argsort(key[own], kind="stable")]
         table = key[own]
-        nodes, node = np.unique(fp, return_inverse=True)
-        bits = nodes.view(np.uint64)
+        nodes, first, node = np.unique(fp, return_index=True, return_inverse=True)
+        bits = [x[first].view(np.uint64) for x in value]
+        del fp, value
         root = np.arange(len(nodes))
         trail = max(b for _, b in layout(segments)) - lead
         for used in range(radius + 1):  # flips spent on leading bits
@@ -137,7 +149,7 @@ def _match(segments: int, lead: int, radius: int, distance: int):
                     b = node[own[np.repeat(first[hit[x:y]] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]]
                     near = (a < b) | (used > 0) & (a != b)
                     a, b = a[near], b[near]
-                    near = np.bitwise_count(bits[a] ^ bits[b]) <= distance
+                    near = sum(np.bitwise_count(x[a] ^ x[b]).astype(np.int64) for x in bits) <= distance
                     a, b = root[a[near]], root[b[near]]
                     if (a != b).any():
                         root = forest(a, b, len(nodes))[root]
@@ -147,17 +159,19 @@ def _match(segments: int, lead: int, radius: int, distance: int):
     return run
 
 
-def links(distinct: DataFrame, distance: int = RADIUS, segments: int | None = None) -> DataFrame:
-    """(a, b) pairs that span the same components as all links between the fingerprints `fp` at `distance` or less.
+def links(distinct: DataFrame, distance: int = RADIUS, words: int = 1, reach: int | None = None, segments: int | None = None) -> DataFrame:
+    """(a, b) pairs of fp that span the same components as all links found between the fingerprints.
 
-    segments: 3 up to 2**23 fingerprints, 2 beyond, so that a segment has about as many values as there are rows.
+    segments: of a word, 3 up to 2**23 fingerprints, 2 beyond, so that a segment has about as many values as there are
+    rows. reach: radius of the balls; by default the one that finds every link.
     """
     n = partitions(distinct)
     segments = segments or (3 if distinct.count() < 1 << 23 else 2)
-    radius = distance // segments
-    lead = min(min(b for _, b in layout(segments)) - 1, max(1, int(np.ceil(np.log2(4 * n / segments)))))
-    dealt = distinct.select("fp").mapInArrow(_deal(segments, lead, radius), "route long, key long, fp long, left int")
-    return dealt.repartition(n, "route").mapInArrow(_match(segments, lead, radius, distance), "a long, b long").distinct()
+    radius = distance // (segments * words) if reach is None else reach
+    lead = min(min(b for _, b in layout(segments)) - 1, max(1, int(np.ceil(np.log2(4 * n / (segments * words))))))
+    kind = ", ".join(f"{c} long" for c in ("fp", *columns(words)))
+    dealt = distinct.select("fp", *columns(words)).mapInArrow(_deal(words, segments, lead, radius), f"route long, key long, left int, {kind}")
+    return dealt.repartition(n, "route").mapInArrow(_match(words, segments, lead, radius, distance), "a long, b long").distinct()
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -178,19 +192,20 @@ def components(pairs: DataFrame) -> DataFrame:
         before = state
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id that links reach) for every row."""
-    rows = durable(fingerprints(docs, id_col, text_col, shingle))
-    distinct = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(distinct, distance))
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = RADIUS, shingle: int = SHINGLE, words: int = 1, reach: int | None = None) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits a word), component_id (smallest doc_id that links reach) for every row."""
+    rows = durable(fingerprints(docs, id_col, text_col, shingle, words))
+    distinct = durable(rows.groupBy("fp", *columns(words)).agg(F.min("doc_id").alias("first_id")))
+    roots = components(links(distinct, distance, words, reach))
     rooted = distinct.join(roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    digits = F.concat(*(F.lpad(F.lower(F.hex(c)), 16, "0") for c in columns(words)))
+    return rows.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of docs that name their component, with all their columns; rows of null id stay."""
-    found = near_duplicates(docs, id_col, text_col, distance, shingle)
+    found = near_duplicates(docs, id_col, text_col, **options)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
