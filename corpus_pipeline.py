@@ -10,8 +10,9 @@ from quartzlog.llm import exact_dedup, mixing, packing, simhash, toxicity
 from quartzlog.llm._common import durable_dir
 from quartzlog.llm.queries import vocabulary
 
-#: Near duplicates: shingles of five words; NEAR_BITS of 64 bits.
-NEAR_WORDS, NEAR_BITS = 5, 8
+#: Near duplicates share 0.8 or more of their five-word shingles. Such texts' fingerprints differ in 15 % of their bits on
+#: average: of three words (192 bits) at most 34 may differ.
+NEAR = {"shingle": 5, "words": 3, "distance": 34, "reach": 1}
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +27,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document that names it."""
-    return simhash.drop_near_duplicates(docs, shingle=NEAR_WORDS, distance=NEAR_BITS)
+    return simhash.drop_near_duplicates(docs, **NEAR)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
