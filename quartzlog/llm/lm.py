@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._blocks import blocks, bucket_cuts, by_key, get_ints, get_keys, grouped, put_ints, put_keys, unpack, with_replies
-from ._common import crc_mod, durable, mix, partitions, powers, slices, word_hashes
+from ._blocks import PACKED, blocks, bucket_cuts, by_key, get_ints, get_keys, grouped, put_block, put_ints, put_keys, unpack, with_replies
+from ._common import crc_mod, durable, mix, partitions, raw, slices, word_hashes
 
 MODULUS, LEFT_OUT, HELD_OUT = 7, 2, 5
 END, START = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
@@ -91,31 +91,36 @@ def _ask(buckets: int):
 ASKED = "bucket int, block long, k0 binary, t0 binary, h0 binary, k1 binary, t1 binary, h1 binary"
 
 
-def _answer(batches):
-    """Per bucket: each block's keys' totals over all blocks; and one row (block null) with the bucket's part of N and V."""
-    import struct
+def _put(values: np.ndarray) -> bytes:
+    data = put_ints(values)
+    return len(data).to_bytes(8, "little") + data
+
 
+def _answer(batches):
+    """Per bucket: each block's keys' totals over all blocks, and those of its held-out texts' keys with the fold's part; and one row (block null) with the bucket's part of N and V."""
     for bucket, rows in grouped(batches, "bucket"):
-        replies = [b""] * len(rows)
+        replies, dev = [b""] * len(rows), [b""] * len(rows)
         sums = [0, 0, 0]
         for o in (0, 1):
             keys = [get_keys(r[f"k{o}"]) for r in rows]
             every, where = np.unique(np.concatenate(keys), return_inverse=True)
-            total, held = (np.bincount(where, np.concatenate([get_ints(r[f"{c}{o}"]) for r in rows]), len(every)).astype(np.int64) for c in "th")
+            asked = np.concatenate([get_ints(r[f"h{o}"]) for r in rows])
+            total = np.bincount(where, np.concatenate([get_ints(r[f"t{o}"]) for r in rows]), len(every)).astype(np.int64)
+            held = np.bincount(where, asked, len(every)).astype(np.int64)
             if not o:
                 sums = [int(total.sum()), int((total > 0).sum()), int(held.sum())]
             at = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
             for i in range(len(rows)):
                 own = where[at[i] : at[i + 1]]
-                for values in (total[own], held[own]):
-                    data = put_ints(values)
-                    replies[i] += struct.pack("<q", len(data)) + data
-        yield pa.RecordBatch.from_pydict({"block": pa.array([*(r["block"] for r in rows), None], pa.int64()), "bucket": pa.array([bucket] * (len(rows) + 1), pa.int32()), "payload": pa.array([*replies, None], pa.binary()), "n": pa.array([*[None] * len(rows), sums[0]], pa.int64()), "v": pa.array([*[None] * len(rows), sums[1]], pa.int64()), "held": pa.array([*[None] * len(rows), sums[2]], pa.int64())})
+                replies[i] += _put(total[own])
+                own = own[asked[at[i] : at[i + 1]] > 0]
+                dev[i] += _put(total[own]) + _put(held[own])
+        yield pa.RecordBatch.from_pydict({"block": pa.array([*(r["block"] for r in rows), None], pa.int64()), "bucket": pa.array([bucket] * (len(rows) + 1), pa.int32()), "payload": pa.array([*replies, None], pa.binary()), "dev": pa.array([*dev, None], pa.binary()), "n": pa.array([*[None] * len(rows), sums[0]], pa.int64()), "v": pa.array([*[None] * len(rows), sums[1]], pa.int64()), "held": pa.array([*[None] * len(rows), sums[2]], pa.int64())})
 
 
 def _read_reply(data: bytes) -> list[np.ndarray]:
     out, at = [], 0
-    for _ in range(4):
+    while at < len(data):
         size = int.from_bytes(data[at : at + 8], "little")
         out.append(get_ints(data[at + 8 : at + 8 + size]))
         at += 8 + size
@@ -123,22 +128,19 @@ def _read_reply(data: bytes) -> list[np.ndarray]:
 
 
 def _counted(rows: list[dict]):
-    """A block's texts with each token's counts: (ids, ends, tokens' (total, held), contexts' (total, held), pairs' (total, held))."""
+    """A block's ids, its texts' token runs, and rows of counts (totals; if answered, the fold's part) of tokens, contexts and pairs."""
     ids, body, at = unpack(rows[0]["ids"], rows[0]["payload"])
     tokens, ends = token_stream(body, at)
     got = [np.concatenate(x) for x in zip(*(_read_reply(r["payload"]) for r in rows[1:]))]
+    kinds = len(got) // 2
     _, where = np.unique(tokens, return_inverse=True)
-    word, word_held = got[0][where], got[1][where]
+    word = np.stack([x[where] for x in got[:kinds]])
     _, where = np.unique(pair_keys(tokens, ends), return_inverse=True)
-    pair, pair_held = got[2][where], got[3][where]
-    last = ends[1:] - 1  # the END of each text: as many as there are starts
-    out = [ids, ends, word, word_held]
-    for x in (word, word_held):
-        before = np.empty_like(x)
-        before[1:] = x[:-1]
-        before[ends[:-1]] = x[last]
-        out.append(before)
-    return *out, pair, pair_held
+    pair = np.stack([x[where] for x in got[kinds:]])
+    context = np.empty_like(word)
+    context[:, 1:] = word[:, :-1]
+    context[:, ends[:-1]] = word[:, ends[1:] - 1]  # there are as many starts as ENDs
+    return ids, ends, word, context, pair
 
 
 def context_bucket(count: np.ndarray) -> np.ndarray:
@@ -150,17 +152,29 @@ def estimates(word: np.ndarray, context: np.ndarray, pair: np.ndarray, n: int, v
     return np.stack([pair / np.maximum(context, 1), word / max(n, 1), np.full(len(word), 1 / (v + 1))])
 
 
+def _only_held_out(batches):
+    """Blocks cut down to the texts of the held-out fold."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            ids, body, at = unpack(row["ids"], row["payload"])
+            keep = np.flatnonzero(crc_mod(pa.array(ids, pa.int64()), MODULUS) == HELD_OUT)
+            if len(keep):
+                texts = pa.array([body[at[k] : at[k + 1]].tobytes() for k in keep], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_pydict(dict(zip(("block", "ids", "payload"), ([x] for x in (row["block"], *put_block(pa.array([ids[k] for k in keep], pa.int64()), *raw(texts)))))), pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("payload", pa.binary())]))
+
+
 def _held_out(n: int, v: int, held_n: int):
     """Histogram rows (context bucket, log-ratio bigram to uniform, log-ratio unigram to uniform, tokens) of the held-out fold."""
     none = -(1 << 15)
 
     def run(batches):
         for _, rows in grouped(batches, "block"):
-            ids, ends, word, word_held, context, context_held, pair, pair_held = _counted(rows)
-            _, held = folds(ids, ends)
-            p = estimates(*((a - b)[held] for a, b in ((word, word_held), (context, context_held), (pair, pair_held))), n - held_n, v)
+            if rows[0]["payload"] is None or rows[0]["ids"] is None:  # a block without texts of the fold
+                continue
+            _, _, word, context, pair = (x if k < 2 else x[0] - x[1] for k, x in enumerate(_counted(rows)))
+            p = estimates(word, context, pair, n - held_n, v)
             ratio = [np.where(x > 0, np.round(STEPS * np.log2(np.where(x > 0, x, 1) / p[2])), none).astype(np.int64) for x in p[:2]]
-            bins, tokens = np.unique(np.stack([context_bucket((context - context_held)[held]), *ratio]), axis=1, return_counts=True) if held.any() else (np.empty((3, 0), np.int64), np.empty(0, np.int64))
+            bins, tokens = np.unique(np.stack([context_bucket(context), *ratio]), axis=1, return_counts=True)
             yield pa.RecordBatch.from_pydict({k: pa.array(x, pa.int64()) for k, x in zip(("context", "pair", "word", "tokens"), (*bins, tokens))})
 
     return run
@@ -189,7 +203,7 @@ def learn(context: np.ndarray, pair: np.ndarray, word: np.ndarray, tokens: np.nd
 def _score(n: int, v: int, weights: np.ndarray):
     def run(batches):
         for _, rows in grouped(batches, "block"):
-            ids, ends, word, _, context, _, pair, _ = _counted(rows)
+            ids, ends, word, context, pair = (x if k < 2 else x[0] for k, x in enumerate(_counted(rows)))
             p = estimates(word, context, pair, n, v)
             mixed = np.log10(np.einsum("ij,ji->j", p, weights[context_bucket(context)]))
             base = np.log10((word + 1) / (n + v + 1))
@@ -205,10 +219,11 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n = partitions(docs)
     packed = blocks(docs, id_col, text_col)
     asked = packed.mapInArrow(_ask(n), ASKED)
-    answers = durable(by_key(asked, n, "bucket", "block").mapInArrow(_answer, "block long, bucket int, payload binary, n long, v long, held long"))
+    answers = durable(by_key(asked, n, "bucket", "block").mapInArrow(_answer, "block long, bucket int, payload binary, dev binary, n long, v long, held long"))
     total, kinds, held = (int(x or 0) for x in answers.agg(F.sum("n"), F.sum("v"), F.sum("held")).first())
     replies = answers.where("block is not null")
-    bins = with_replies(packed, replies, n).mapInArrow(_held_out(total, kinds, held), "context long, pair long, word long, tokens long")
+    fold = packed.mapInArrow(_only_held_out, PACKED)
+    bins = with_replies(fold, replies.withColumn("payload", F.col("dev")), n).mapInArrow(_held_out(total, kinds, held), "context long, pair long, word long, tokens long")
     got = bins.groupBy("context", "pair", "word").agg(F.sum("tokens").alias("tokens")).orderBy("context", "pair", "word").toArrow()
     weights = learn(*(got[c].to_numpy() for c in ("context", "pair", "word", "tokens")))
     return with_replies(packed, replies, n).mapInArrow(_score(total, kinds, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
