@@ -1,0 +1,85 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from quartzlog.llm import _blocks as B
+from quartzlog.llm import _common as C
+from quartzlog.llm._suffix import anchors, common_prefixes, suffix_array, words_at
+
+TEXTS = ["", "a", "A b\tc\n\x0bD  é", " lead and trail ", "Ünïcode Σ wOrds", "x" * 5000, "\x00\x01 z", "no break"]
+
+
+def expected_words(text):
+    return text.encode().lower().split()
+
+
+def test_word_hashes_are_those_of_words():
+    body, at = C.raw(pa.array([*TEXTS, None, *TEXTS]))
+    hashed, counts = C.word_hashes(body, at)
+    words = [w for t in [*TEXTS, "", *TEXTS] for w in expected_words(t)]
+    assert counts.tolist() == [len(expected_words(t)) for t in [*TEXTS, "", *TEXTS]]
+    names = {}
+    for w, h in zip(words, hashed.tolist()):
+        assert names.setdefault(w, h) == h
+    assert len(set(names.values())) == len(names)
+
+
+def test_raw_and_slices():
+    column = pa.array(["zz", *TEXTS]).slice(1)
+    body, at = C.raw(column)
+    assert [bytes(body[a:b]).decode() for a, b in zip(at, at[1:])] == TEXTS
+    cuts = list(C.slices(at, 10))
+    assert cuts[0][0] == 0 and cuts[-1][1] == len(TEXTS) and all(a[1] == b[0] for a, b in zip(cuts, cuts[1:]))
+    assert list(C.slices(np.zeros(1, np.int64), 10)) == []
+
+
+@pytest.mark.parametrize("keys", [[], [5], [0, 1, 2, 1 << 47], sorted({pow(7, k, 1 << 48) for k in range(500)})])
+def test_key_and_number_codecs(keys):
+    keys = np.array(keys, np.uint64)
+    assert B.get_keys(B.put_keys(keys)).tolist() == keys.tolist()
+    values = np.array([0, 1, 254, 255, 256, 10**12] * 3, np.int64)
+    assert B.get_ints(B.put_ints(values)).tolist() == values.tolist()
+    cuts = B.bucket_cuts(keys, 48, 7)
+    assert cuts[0] == 0 and cuts[-1] == len(keys) and (np.diff(cuts) >= 0).all()
+
+
+def test_blocks_round_trip(spark):
+    docs = spark.createDataFrame([(k if k != 3 else None, t) for k, t in enumerate([*TEXTS, None])], "doc_id long, text string").coalesce(2)
+    got = []
+    for row in B.blocks(docs, block_bytes=50).collect():
+        ids, body, at = B.unpack(row["ids"], row["payload"])
+        got += [(i, bytes(body[a:b]).decode()) for i, a, b in zip(ids, at, at[1:])]
+    assert sorted(got, key=str) == sorted([(k if k != 3 else None, t) for k, t in enumerate([*TEXTS, ""])], key=str)
+
+
+def test_anchors_depend_on_windows_alone():
+    rng = np.random.default_rng(1)
+    shared = rng.integers(97, 100, 200).astype(np.uint8)
+    texts = [np.concatenate([rng.integers(97, 100, n).astype(np.uint8), shared, rng.integers(97, 100, m).astype(np.uint8)]) for n, m in ((3, 90), (77, 0), (0, 5))]
+    found = []
+    for t in texts:
+        place, hashed = anchors(t, np.array([0, len(t)]), 50, 24)
+        start = bytes(t).index(bytes(shared))
+        windows = [max((p for p in place if s <= p <= s + 26), key=lambda p: (-int(hashed[list(place).index(p)] >> np.uint64(20)), -p)) - s for s in range(start, start + 151)]
+        found.append(windows)
+        assert all(any(s <= p <= s + 26 for p in place) for s in range(len(t) - 49))
+    assert len(anchors(texts[0][:49], np.array([0, 49]), 50, 24)[0]) == 0
+
+
+@pytest.mark.parametrize("alphabet,n", [(2, 400), (3, 1500), (26, 900)])
+def test_suffix_array_and_common_prefixes(alphabet, n):
+    rng = np.random.default_rng(n)
+    text = rng.integers(97, 97 + alphabet, n).astype(np.uint8)
+    text[n // 2 : n // 2 + 150] = text[:150]
+    text[n // 2 + 60] = 96
+    left = n - np.arange(n)
+    left[: n // 3] = n // 3 - np.arange(n // 3)  # two regions
+    for depth in (5, 8, 20, 50):
+        words = words_at(text)
+        order = suffix_array(words, left, depth)
+        valid = [i for i in range(n) if left[i] >= depth]
+        key = lambda i: bytes(text[i : i + depth])  # noqa: E731, B023
+        assert sorted(order.tolist()) == valid and [key(i) for i in order] == sorted(key(i) for i in valid)
+        common = common_prefixes(words, order, n, depth, lane=16)
+        want = [next((k for k in range(depth) if text[a + k] != text[b + k]), depth) for a, b in zip(order, order[1:])]
+        assert common.tolist() == want
