@@ -126,17 +126,17 @@ def law(top: np.ndarray, n: np.ndarray) -> tuple[float, float]:
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Bias and slope by Newton steps with a small ridge."""
-    w = np.ones(len(x))
+    """Bias and slope by damped Newton steps on the standardised values, with a small ridge."""
+    mean, scale = float(x.mean()), max(1e-9, float(x.std()))
+    a = np.stack([np.ones(len(x)), (x - mean) / scale], 1)
     b = np.zeros(2)
-    a = np.stack([np.ones(len(x)), x], 1)
-    for _ in range(50):
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ b, -35, 35)))
-        grad = a.T @ (w * (p - y)) + 0.1 * b
-        hess = (a * (w * p * (1 - p))[:, None]).T @ a + 0.1 * np.eye(2)
+        grad = a.T @ (p - y) + 0.1 * b
+        hess = (a * (p * (1 - p))[:, None]).T @ a + 0.1 * np.eye(2)
         step = np.linalg.solve(hess, grad)
-        b -= np.clip(step, -2, 2)
-    return float(b[0]), float(b[1])
+        b -= step * min(1.0, 1.0 / max(1e-12, float(np.abs(step).max())))
+    return float(b[0] - b[1] * mean / scale), float(b[1] / scale)
 
 
 def fit(rows: list[tuple[int, np.ndarray]]) -> Model:
