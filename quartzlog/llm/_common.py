@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zlib
 
@@ -37,6 +38,16 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """durable, and ask the driver's JVM to collect its garbage now: shuffle files that led to df can go before the next
+    step writes its own."""
+    out = durable(df)
+    del df
+    gc.collect()
+    out.sparkSession._jvm.System.gc()
+    return out
+
+
 def partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
@@ -133,9 +144,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     """doc_id, text, label of at most `bound` labelled training rows: those of lowest hashed id, so at most `bound` ids are broadcast.
 
     A row trains if its id and 0/1 label are not null and crc32(id as text) mod modulus is not left_out; of several
-    labels for an id the largest counts.
+    labels for an id the largest counts, and of several rows with an id the greatest text.
     """
     ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
     ids = ids.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus != left_out).groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    return docs.join(F.broadcast(chosen), "doc_id")
+    return docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.max("text").alias("text"))

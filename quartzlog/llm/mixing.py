@@ -13,7 +13,7 @@ Both cuts are thresholds on hashes, hence choosing a row needs nothing but the r
 
 Cases: a null text counts as empty (no tokens), null sources form a source of their own; sources without tokens are
 drawn once; repeated rows and null ids are drawn like any other; an empty table gives no rows; the input's other
-columns pass through `mix`, which names its own columns so that none clashes.
+columns pass through `mix`, except that columns named like its own (mix_...) are replaced.
 """
 
 from __future__ import annotations

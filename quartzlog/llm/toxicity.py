@@ -1,7 +1,7 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
 Token weights: in how many toxic and clean training texts each (hashed) token occurs gives a log-odds ratio under
-Dirichlet priors of a half plus a part proportional to the token's overall share; what counts is its lower confidence bound, less a margin, so
+Dirichlet priors about the token's overall rate; what counts is its lower confidence bound, less a margin, so
 that ordinary tokens score below zero. A linear scan finds all maximal segments of positive total (passages). How high
 the best passage of a clean text gets by chance follows an extreme-value law, P(best >= s) = 1 - exp(-K n exp(-lambda s))
 for n tokens; K and lambda are fitted on clean rows that had no part in the weights. A passage is significant if its
@@ -47,15 +47,19 @@ def tokens(body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (hashed >> np.uint64(64 - BITS)).astype(np.int64), np.concatenate([[0], np.cumsum(counts)])
 
 
-def log_odds(toxic: np.ndarray, clean: np.ndarray, prior: float = 100.0, z: float = 2.5, margin: float = 0.5) -> np.ndarray:
-    """Weights from the buckets' counts in toxic and clean rows: (lower bound of log-odds) - margin, in [-margin - 4, inf)."""
+def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, prior: float = 10.0, z: float = 2.5, margin: float = 0.5) -> np.ndarray:
+    """Weights, at least -margin - 4, from the numbers of toxic and clean rows that have a token of each bucket.
+
+    Whether a row has the token is drawn from a rate with a Dirichlet prior of weight `prior` about its overall rate, and a
+    half besides. Positive log-odds count by their lower confidence bound.
+    """
     both = toxic + clean
-    total = both.sum()
-    if not toxic.sum() or not clean.sum():
+    if not n_toxic or not n_clean:
         return np.full(len(toxic), -margin)
-    a = 0.5 + prior * both / total
-    rate = lambda x: (x + a) / (x.sum() + prior + 0.5 * len(x) - x - a)
-    delta = np.log(rate(toxic)) - np.log(rate(clean))
+    a = 0.5 + prior * both / (n_toxic + n_clean)
+    b = 0.5 + prior * (1 - both / (n_toxic + n_clean))
+    odds = lambda x, n: np.log(x + a) - np.log(n - x + b)
+    delta = odds(toxic, n_toxic) - odds(clean, n_clean)
     spread = np.sqrt(1 / (toxic + a) + 1 / (clean + a))
     bound = np.where(delta > 0, np.maximum(delta - z * spread, 0), np.maximum(delta, -4.0))
     return np.where(both > 0, bound, 0.0) - margin
@@ -116,13 +120,26 @@ def log_expected(model: Model, top: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def law(top: np.ndarray, n: np.ndarray) -> tuple[float, float]:
-    """lambda and K from clean rows' best totals: the tail's decay between two quantiles, which a few mislabelled rows don't move."""
-    seen = top > 0
-    if seen.sum() < 20:
-        return 1.0, max(1.0, float(seen.sum())) / max(1.0, float(n.sum()))
-    lowest, farther = np.quantile(top[seen], [0.5, 0.9])
-    lam = float(np.clip(np.log(5) / max(1e-6, farther - lowest), 0.2, 10.0))
-    return lam, float((top >= lowest).sum()) * np.exp(lam * lowest) / max(1.0, float(n.sum()))
+    """lambda and K by maximum likelihood from clean rows' best totals and lengths.
+
+    A row without a passage tells that its best total is not above 0. The highest hundredth is left out: some rows are
+    mislabelled. For a given lambda the best K is explicit; lambda is found by a search that narrows its interval.
+    """
+    if not len(top) or not (top > 0).any():
+        return 1.0, 1.0 / max(1.0, float(n.sum()))
+    some = top <= np.quantile(top, 0.99)
+    s, n = top[some], np.maximum(n[some], 1).astype(np.float64)
+    seen = max(1, int((s > 0).sum()))
+    best_k = lambda lam: seen / float((n * np.exp(-lam * s)).sum())
+
+    def likelihood(lam: float) -> float:
+        return seen * (np.log(best_k(lam)) + np.log(lam)) - lam * float(s.sum())
+
+    low, high = 0.2, 10.0
+    for _ in range(60):
+        a, b = low + (high - low) / 3, high - (high - low) / 3
+        low, high = (low, b) if likelihood(a) > likelihood(b) else (a, high)
+    return low, best_k(low)
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -139,13 +156,37 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(b[0] - b[1] * mean / scale), float(b[1] / scale)
 
 
+def without_near_copies(rows: list[tuple[int, np.ndarray]], hashes: int = 8, agree: int = 5) -> list[tuple[int, np.ndarray]]:
+    """Rows of which no earlier row shares `agree` of the least values of `hashes` hash functions over its tokens: near
+    copies of a toxic text would make its ordinary words look toxic."""
+    factor = np.random.default_rng(7).integers(1, 1 << 31, hashes).astype(np.int64) | 1
+    seen: list[dict[int, list[int]]] = [{} for _ in range(hashes)]
+    out = []
+    for k, (y, at) in enumerate(rows):
+        if not len(at):
+            out.append((y, at))
+            continue
+        least = (at.astype(np.int64)[:, None] * factor % 2147483647).min(0).tolist()
+        votes: dict[int, int] = {}
+        for table, value in zip(seen, least):
+            for j in table.get(value, ()):
+                votes[j] = votes.get(j, 0) + 1
+        if not votes or max(votes.values()) < agree:
+            out.append((y, at))
+            for table, value in zip(seen, least):
+                table.setdefault(value, []).append(k)
+    return out
+
+
 def fit(rows: list[tuple[int, np.ndarray]]) -> Model:
     """From (label, token buckets) rows: two of three give the weights, every third the law and the logistic function."""
-    counts = np.zeros((2, 1 << BITS))
+    rows = without_near_copies(rows)
+    counts, n = np.zeros((2, 1 << BITS)), [0, 0]
     for k, (y, at) in enumerate(rows):
         if k % 3:
             counts[y][np.unique(at)] += 1
-    weights = log_odds(counts[1], counts[0]).astype(np.float32)
+            n[y] += 1
+    weights = log_odds(counts[1], counts[0], n[1], n[0]).astype(np.float32)
     rest = rows[::3]
     ends = np.concatenate([[0], np.cumsum([len(at) for _, at in rest])]).astype(np.int64)
     top = best(weights[np.concatenate([at for _, at in rest]).astype(np.int64)].astype(np.float64), ends) if rest else np.empty(0)
