@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._blocks import blocks, bucket_cuts, by_key, expand, get_keys, grouped, put_keys, squeeze, unpack, with_replies
-from ._common import durable, partitions
+from ._common import partitions, settled
 from ._suffix import anchors, common_prefixes, suffix_array, words_at
 
 LENGTH, GRAM = 50, 24
@@ -170,7 +170,7 @@ def _shard(buckets: int, length: int, gram: int):
                 order = np.argsort(row_strings(full), kind="stable")
                 run_places.append(own[order])
                 doc = ids[np.searchsorted(at, own[order], "right") - 1]
-                out.append((int(i), squeeze(full[order].tobytes()), doc.astype("<i8").tobytes()))
+                out.append((int(i), squeeze(full[order].tobytes(), 6), doc.astype("<i8").tobytes()))
             state = [np.packbits(_flags(gone, len(body))).tobytes(), *(np.concatenate([*x, np.empty(0, np.int64)]).astype("<u4").tobytes() for x in (run_places, [again], [stand_in]))]
             sizes = np.array([len(x) for x in state], "<i8").tobytes()
             yield _rows([(-1, block, squeeze(sizes + b"".join(state)), None), *((i, block, text, doc) for i, text, doc in out)])
@@ -206,38 +206,36 @@ def merge_runs(runs: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     return every, [np.searchsorted(every, r) for r in runs]
 
 
-def prefix_ranks(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def prefix_ranks(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order of byte rows, and for neighbours in it the length of the common prefix."""
     order = np.argsort(row_strings(np.concatenate([rows, np.ones((len(rows), 1), np.uint8)], 1)), kind="stable")
-    ordered = rows[order]
-    differ = ordered[1:] != ordered[:-1]
-    common = np.where(differ.any(1), differ.argmax(1), rows.shape[1])
-    return order, ordered, common
+    common = np.empty(max(0, len(rows) - 1), np.int64)
+    for a in range(0, len(common), 1 << 16):
+        differ = rows[order[a + 1 : a + 1 + (1 << 16)]] != rows[order[a : min(a + (1 << 16), len(common))]]
+        common[a : a + len(differ)] = np.where(differ.any(1), differ.argmax(1), rows.shape[1])
+    return order, common
 
 
-def first_docs(rows: np.ndarray, doc: np.ndarray, length: int, gram: int) -> np.ndarray:
-    """For each distinct context and each distance o of a window's begin before the anchor: the smallest doc_id of an equal
+def first_docs(rows: np.ndarray, doc: np.ndarray, length: int, gram: int):
+    """For each distance o of a window's begin before the anchor: per distinct context the smallest doc_id of an equal
     window among all contexts (the largest number where there is no such window)."""
     side, n = length - gram, len(rows)
-    none = np.iinfo(np.int64).max
-    out = np.full((n, side + 1), none)
     before, after = rows[:, -2].astype(np.int64) - 1, rows[:, -1].astype(np.int64) - 1
-    right_order, _, right_common = prefix_ranks(rows[:, side : side + length])
-    left_order, _, left_common = prefix_ranks(rows[:, :side][:, ::-1])
+    right_order, right_common = prefix_ranks(rows[:, side : side + length])
+    left_order, left_common = prefix_ranks(rows[:, :side][:, ::-1])
     right, back = np.empty(n, np.int64), np.empty(n, np.int64)
     for o in range(side + 1):
         right[right_order] = np.concatenate([[0], np.cumsum(right_common < length - o)])
         back[left_order] = np.concatenate([[0], np.cumsum(left_common < o)])
         some = np.flatnonzero((before >= o) & (after >= length - o))
-        if not len(some):
-            continue
-        key = right[some] * n + back[some]
-        order = np.argsort(key, kind="stable")
-        key, some = key[order], some[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        least = np.minimum.reduceat(doc[some], first)
-        out[some, o] = np.repeat(least, np.diff(np.concatenate([first, [len(some)]])))
-    return out
+        out = np.full(n, np.iinfo(np.int64).max)
+        if len(some):
+            key = right[some] * n + back[some]
+            order = np.argsort(key, kind="stable")
+            key, some = key[order], some[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            out[some] = np.repeat(np.minimum.reduceat(doc[some], first), np.diff(np.concatenate([first, [len(some)]])))
+        yield o, out
 
 
 def _merge(length: int, gram: int):
@@ -250,17 +248,20 @@ def _merge(length: int, gram: int):
                 for r in rows:
                     yield _rows([(-1, r["block"], r["payload"], None)])
                 continue
-            texts = [np.frombuffer(expand(r["payload"]), np.uint8).reshape(-1, width) for r in rows]
-            docs = [np.frombuffer(r["docs"], "<i8") for r in rows]
-            every, places = merge_runs([row_strings(t) for t in texts])
+            places, runs, own = [], [], np.concatenate([np.frombuffer(r["docs"], "<i8") for r in rows])
+            for r in rows:
+                runs.append(row_strings(np.frombuffer(expand(r["payload"]), np.uint8).reshape(-1, width)))
+            cuts = np.concatenate([[0], np.cumsum([len(x) for x in runs])])
+            every, places = merge_runs(runs)
+            del runs
+            place = np.concatenate(places)
             doc = np.full(len(every), np.iinfo(np.int64).max)
-            for p, d in zip(places, docs):
-                np.minimum.at(doc, p, d)
-            least = first_docs(np.frombuffer(every.tobytes(), np.uint8).reshape(-1, width), doc, length, gram)
-            weight = np.int64(1) << np.arange(least.shape[1])
-            for r, p, d in zip(rows, places, docs):
-                mask = ((least[p] < d[:, None]) * weight).sum(1)
-                yield _rows([(bucket, r["block"], squeeze(mask.astype("<u8").tobytes()), None)])
+            np.minimum.at(doc, place, own)
+            mask = np.zeros(len(place), np.uint64)
+            for o, least in first_docs(np.frombuffer(every.tobytes(), np.uint8).reshape(-1, width), doc, length, gram):
+                mask |= (least[place] < own).astype(np.uint64) << np.uint64(o)
+            for r, a, b in zip(rows, cuts[:-1], cuts[1:]):
+                yield _rows([(bucket, r["block"], squeeze(mask[a:b].astype("<u8").tobytes()), None)])
 
     return run
 
@@ -315,9 +316,9 @@ def _runs(gone: np.ndarray, opens: np.ndarray, at: np.ndarray) -> pa.Array:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans for every document."""
     n = partitions(docs)
+    buckets = 4 * n  # an owner's work is bounded by a bucket's
     packed = blocks(docs, id_col, text_col, BLOCK_BYTES)
-    asked = packed.mapInArrow(_ask(n, length, gram), "bucket int, block long, keys binary, several binary")
-    recurring = durable(by_key(asked, n, "bucket", "block").mapInArrow(_recurring, "block long, bucket int, payload binary"))
-    runs = with_replies(packed, recurring, n).mapInArrow(_shard(n, length, gram), RUN)
+    recurring = settled(by_key(packed.mapInArrow(_ask(buckets, length, gram), "bucket int, block long, keys binary, several binary"), n, "bucket", "block").mapInArrow(_recurring, "block long, bucket int, payload binary"))
+    runs = with_replies(packed, recurring, n).mapInArrow(_shard(buckets, length, gram), RUN)
     answers = by_key(runs.withColumn("to", F.when(F.col("bucket") < 0, F.xxhash64("block")).otherwise(F.col("bucket"))), n, "to", "bucket", "block").drop("to").mapInArrow(_merge(length, gram), RUN)
     return with_replies(packed, answers, n).mapInArrow(_cut(length, gram), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin:long,end:long>>")

@@ -9,7 +9,7 @@ from ..actions import KINDS, SCHEMA
 from ..paths import canonical_column
 from .segment import Segment
 
-ORDERED = "version long, pos int, from_checkpoint boolean"
+ORDERED = "version long, pos struct<block:bigint,line:bigint>, from_checkpoint boolean"
 
 
 def glob_escaped(path: str) -> str:
@@ -18,18 +18,23 @@ def glob_escaped(path: str) -> str:
 
 
 def commit_actions(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """version, pos, from_checkpoint and a struct per kind, for every line of commit files."""
+    """version, pos, from_checkpoint and a struct per kind, for every line of commit files.
+
+    pos orders the lines of a commit: where the line's split of the file begins, then the lines' running number in it. So a
+    commit of millions of lines is read in splits like any text.
+    """
     if not paths:
         return spark.createDataFrame([], f"{ORDERED}, {', '.join(f'`{k}` {SCHEMA[k].dataType.simpleString()}' for k in KINDS)}")
-    text = spark.read.text([glob_escaped(p) for p in paths], wholetext=True)
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"(\d+)\.json[^/]*$", 1).cast("long")
-    lines = text.select(name.alias("version"), F.posexplode(F.split("value", "\n")).alias("pos", "line")).where(F.trim("line") != "")
-    return lines.select("version", "pos", F.lit(False).alias("from_checkpoint"), F.from_json("line", SCHEMA).alias("a")).select("version", "pos", "from_checkpoint", *(F.col(f"a.{k}").alias(k) for k in KINDS))
+    text = spark.read.text([glob_escaped(p) for p in paths])
+    version = F.regexp_extract(F.col("_metadata.file_path"), r"(\d+)\.json[^/]*$", 1).cast("long")
+    pos = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = text.select(version.alias("version"), pos.alias("pos"), F.lit(False).alias("from_checkpoint"), F.from_json("value", SCHEMA).alias("a"))
+    return lines.where("a is not null").select("version", "pos", "from_checkpoint", *(F.col(f"a.{k}").alias(k) for k in KINDS))
 
 
 def checkpoint_actions(spark: SparkSession, paths: list[str], version: int) -> DataFrame:
     rows = spark.read.schema(SCHEMA).parquet(*(glob_escaped(p) for p in paths))
-    return rows.select(F.lit(version).cast("long").alias("version"), F.lit(-1).alias("pos"), F.lit(True).alias("from_checkpoint"), *KINDS)
+    return rows.select(F.lit(version).cast("long").alias("version"), F.struct(F.lit(-1).cast("long").alias("block"), F.lit(-1).cast("long").alias("line")).alias("pos"), F.lit(True).alias("from_checkpoint"), *KINDS)
 
 
 def actions(spark: SparkSession, segment: Segment) -> DataFrame:
