@@ -76,6 +76,20 @@ ORACLE = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)""",
+    "op5_substring_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        c AS (SELECT doc_id, j, substr(h, 200 * j + 1, 298) AS t FROM (SELECT doc_id, h, unnest(range(0, length(h) // 200 + 1)) AS j FROM d)),
+        w AS (SELECT doc_id, 100 * j + o AS i, substr(t, 2 * o + 1, 100) AS s FROM (SELECT doc_id, j, t, unnest(range(0, length(t) // 2 - 49)) AS o FROM c)),
+        f AS (SELECT s, min(doc_id) AS first_id FROM w GROUP BY s HAVING min(doc_id) <> max(doc_id)),
+        r AS (SELECT doc_id, i, i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 AS opens FROM w JOIN f USING (s) WHERE first_id < doc_id),
+        n AS (SELECT doc_id, i, sum(coalesce(opens, true)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM r),
+        p AS (SELECT doc_id, k, min(i) AS b, max(i) + 50 AS e FROM n GROUP BY doc_id, k),
+        q AS (SELECT doc_id, k, b, e, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM p),
+        g AS (SELECT doc_id, sum(e - b) AS removed, count(*) AS spans, max(e) AS last_end,
+                     string_agg(substr(h, 2 * before + 1, 2 * (b - before)), '' ORDER BY k) AS head FROM q JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last_end, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN g USING (doc_id)""",
     "op8_chat_format": r"""
         WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
                    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
