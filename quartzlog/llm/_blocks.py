@@ -20,8 +20,8 @@ BLOCK_BYTES = 8 << 20
 PACKED = "block long, ids binary, payload binary"
 
 
-def squeeze(data) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(bytes(data))
+def squeeze(data, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(bytes(data))
 
 
 def expand(data: bytes) -> bytes:
@@ -30,7 +30,7 @@ def expand(data: bytes) -> bytes:
 
 def put_block(ids: pa.Array, body: np.ndarray, at: np.ndarray) -> tuple[bytes, bytes]:
     null = np.asarray(ids.is_null()).astype(np.uint8)
-    return null.tobytes() + np.asarray(ids.fill_null(0)).astype("<i8").tobytes(), zstandard.ZstdCompressor(level=3).compress(np.diff(at).astype("<i8").tobytes() + body.tobytes())
+    return null.tobytes() + np.asarray(ids.fill_null(0)).astype("<i8").tobytes(), zstandard.ZstdCompressor(level=6).compress(np.diff(at).astype("<i8").tobytes() + body.tobytes())
 
 
 def _pack(block_bytes: int):
