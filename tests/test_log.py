@@ -342,3 +342,19 @@ def test_replay_of_a_checkpoint_equals_replay_of_commits(spark, tmp_path):
     assert [sorted(map(str, TableLog(spark, str(tmp_path)).snapshot_at(v).files.collect())) for v in range(6)] == before
     assert replay.commit_actions(spark, []).count() == 0
 
+
+
+def test_table_through_hadoop_file_systems(spark, tmp_path, monkeypatch):
+    import quartzlog.table as module
+
+    monkeypatch.setattr(module, "open_store", lambda s, folder: HadoopStore(s, f"file://{folder}"))
+    t = TableLog(spark, str(tmp_path / "t"))
+    rows = spark.range(12).selectExpr("id", "cast(id % 3 as int) p")
+    t.append(rows, ["p"])
+    t.delete(P.col("p") == 1)
+    t.checkpoint(2)
+    t.append(rows.where("p = 1"))
+    again = TableLog(spark, str(tmp_path / "t"))
+    assert again.snapshot.segment.checkpoint_version == 1 and again.snapshot.version == 2
+    assert sorted(map(tuple, again.to_df().collect())) == sorted(map(tuple, rows.collect()))
+    assert again.to_df(P.col("p") == 2).count() == 4 and again.to_df(version=1).count() == 8
