@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import zlib
@@ -140,6 +142,13 @@ def crc_mod(ids: pa.Array, modulus: int) -> np.ndarray:
     return np.fromiter((zlib.crc32(b"" if i is None else b"%d" % i) % modulus for i in ids.to_pylist()), np.int64, len(ids))
 
 
+def give_back() -> None:
+    """Return freed memory to the system; Python workers live on after a task and would keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, left_out: int, bound: int) -> DataFrame:
     """doc_id, text, label of at most `bound` labelled training rows: those of lowest hashed id, so at most `bound` ids are broadcast.
 

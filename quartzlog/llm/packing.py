@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +27,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import durable, raw, slices
+from ._common import durable, give_back, raw, slices
 
 SEQUENCE, TURN = 4096, 1024
 END_ID = 2
 CARRY_ROWS = 200_000  # (partition, source) sums up to which the carries are broadcast; beyond, they are joined by shuffle
-CACHE = 400_000
-SLICE = 8 << 20
+CACHE = 300_000
+SLICE = 4 << 20
 _loaded: dict = {}
 
 
+def packed(ids) -> bytes:
+    return array("I", ids).tobytes()
+
+
 class WordTokenizer:
     """Ids as the tokenizer file gives them, computed by distinct word.
 
@@ -54,23 +59,23 @@ class WordTokenizer:
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.cache: dict[str, tuple] = {}
+        self.cache: dict[str, bytes] = {}  # ids as packed 32-bit integers
         one = lambda s: self.whole.encode(s, add_special_tokens=False).ids
         probe = ["don't", "x9y.", "?!ab", "été"]
-        self.by_word = all(one(gap.join(probe)) == sum(map(one, probe), []) and all(self._plain(p) == one(p) for p in probe[:3]) for gap in (" ", "\n", "\t \r\n"))
+        self.by_word = all(one(gap.join(probe)) == sum(map(one, probe), []) and all(self._plain(p) == packed(one(p)) for p in probe[:3]) for gap in (" ", "\n", "\t \r\n"))
 
-    def _plain(self, word: str) -> list[int]:
-        out: list[int] = []
+    def _plain(self, word: str) -> bytes:
+        out, cache = [], self.cache
         for piece in self.PIECES.findall(word.lower()):
-            ids = self.cache.get(piece)
+            ids = cache.get(piece)
             if ids is None:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                ids = self.cache[piece] = tuple(t.id for t in self.model.tokenize(piece))
-            out += ids
-        return out
+                if len(cache) >= CACHE:
+                    cache.clear()
+                ids = cache[piece] = packed(t.id for t in self.model.tokenize(piece))
+            out.append(ids)
+        return out[0] if len(out) == 1 else b"".join(out)
 
-    def words(self, words: list[str]) -> list[list[int]]:
+    def words(self, words: list[str]) -> list[bytes]:
         out: list = [None] * len(words)
         odd = []
         for k, word in enumerate(words):
@@ -80,22 +85,24 @@ class WordTokenizer:
                 out[k] = ids
             else:
                 odd.append(k)
-        for k, e in zip(odd, self.whole.encode_batch_fast([words[k] for k in odd], add_special_tokens=False)):
-            out[k] = self.cache["\0" + words[k]] = tuple(e.ids)
+        for a in range(0, len(odd), 2000):  # the library's results are large
+            some = odd[a : a + 2000]
+            for k, e in zip(some, self.whole.encode_batch_fast([words[k] for k in some], add_special_tokens=False)):
+                out[k] = self.cache["\0" + words[k]] = packed(e.ids)
         return out
 
     def texts(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids, each text's followed by end_id, and the n + 1 offsets of their runs."""
         if not self.by_word:
             found = [[*e.ids, end_id] for e in self.whole.encode_batch_fast(column.to_pylist(), add_special_tokens=False)]
-            return np.array([i for x in found for i in x], np.int64), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
+            return np.array([i for x in found for i in x], np.uint32), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
         split = pc.ascii_split_whitespace(column)
         runs = split.offsets.to_numpy().astype(np.int64)
         coded = split.flatten().dictionary_encode()
         keep = coded.dictionary.to_pylist()
         ids = self.words(keep)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.int32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.uint32)
         starts = np.cumsum(sizes) - sizes
         at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         runs -= runs[0]
@@ -106,7 +113,7 @@ class WordTokenizer:
         total = np.concatenate([[0], np.cumsum(sizes_at)])
         spread = np.repeat((starts[at] if len(at) else at) - total[:-1], sizes_at) + np.arange(total[-1])
         ends = total[runs[1:]] + np.arange(1, len(runs))
-        out = np.full(total[-1] + len(runs) - 1, end_id, np.int64)
+        out = np.full(total[-1] + len(runs) - 1, end_id, np.uint32)
         inner = np.ones(len(out), bool)
         inner[ends - 1] = False
         out[inner] = flat[spread]
@@ -136,6 +143,8 @@ def tokenised(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "d
                     "n": pa.array(np.diff(ends), pa.int64()), "width": pa.array(np.full(b - a, width), pa.int32()), "ids": pa.array([ids[width * x : width * y] for x, y in zip(ends[:-1], ends[1:])], pa.binary()),
                 })
                 pos += b - a
+                del ids, ends
+            give_back()
 
     return durable(rows.mapInArrow(run, "part long, pos long, doc_id long, source string, n long, width int, ids binary"))
 
@@ -225,6 +234,7 @@ def _pack(size: int, turn: int):
             found = list(zip(*part(rows)))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == 7 else pa.int64()) for k, c in enumerate(found)], names)
+        give_back()
 
     return run
 

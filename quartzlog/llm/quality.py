@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._common import LOWER, SPACE, crc_mod, mix, pick, powers, prefix_hash, raw, slices, training_sample, word_spans
+from ._common import LOWER, crc_mod, mix, pick, powers, prefix_hash, raw, slices, training_sample, word_spans
 
 BITS = 20
 TRAIN_ROWS = 8000

@@ -27,10 +27,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import durable, mix, partitions, pick, raw
+from ._common import durable, give_back, mix, partitions, pick, raw
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 PROBES = 1 << 20
+BITS_AT_ONCE = 1 << 16
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED, words: int = 1) -> list[int]:
@@ -48,7 +49,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED, words: in
     for k in range(words):
         with np.errstate(over="ignore"):
             own = mix(hashed + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15)) if k else hashed
-        bits = np.unpackbits(own.astype(">u8").view(np.uint8).reshape(n, 8), axis=1).sum(0, dtype=np.int64)
+        bits = sum(np.unpackbits(own[a : a + BITS_AT_ONCE].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64) for a in range(0, n, BITS_AT_ONCE))
         out.append(int.from_bytes(np.packbits(bits * 2 > n).tobytes(), "big"))
     return out
 
@@ -155,6 +156,8 @@ def _match(words: int, segments: int, lead: int, radius: int, distance: int):
                         root = forest(a, b, len(nodes))[root]
         linked = np.flatnonzero(root != np.arange(len(nodes)))
         yield pa.RecordBatch.from_pydict({"a": pa.array(nodes[linked], pa.int64()), "b": pa.array(nodes[root[linked]], pa.int64())})
+        del key, left, own, table, nodes, node, bits, root, linked
+        give_back()
 
     return run
 

@@ -22,7 +22,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ._common import PUNCT, crc_mod, pick, raw, slices, training_sample, word_hashes
 
