@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import durable, partitions, pick, raw
+from ._common import durable, give_back, partitions, pick, raw
 
 BLOCK_BYTES = 4096
 CUT = "rid long, doc_id long, sha binary, n_blocks int, pos int, batch long, lid int, route long, block binary"
@@ -56,6 +56,8 @@ def _cut(block_bytes: int):
             for lid, x in enumerate(forms):
                 places.append((None, None, None, None, None, key, lid, xxhash.xxh64_intdigest(x) - (1 << 63), x))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*places), kinds)] if places else [pa.array([], t) for t in kinds], fields)
+            del body, names, places, forms
+        give_back()
 
     return run
 

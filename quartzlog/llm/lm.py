@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._blocks import PACKED, blocks, bucket_cuts, by_key, get_ints, get_keys, grouped, put_block, put_ints, put_keys, unpack, with_replies
-from ._common import crc_mod, durable, mix, partitions, raw, slices, word_hashes
+from ._common import crc_mod, durable, give_back, mix, partitions, raw, slices, word_hashes
 
 MODULUS, LEFT_OUT, HELD_OUT = 7, 2, 5
 END, START = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
@@ -84,6 +84,7 @@ def _ask(buckets: int):
                 for i in range(buckets):
                     own = [[x[c[i] : c[i + 1]] for x in f] for f, c in zip(found, cuts)]
                     yield pa.RecordBatch.from_pydict({"bucket": pa.array([i], pa.int32()), "block": pa.array([row["block"]], pa.int64())} | {f"{k}{o}": pa.array([put(x)], pa.binary()) for o, part in enumerate(own) for k, put, x in zip("kth", (put_keys, put_ints, put_ints), part)})
+        give_back()
 
     return run
 
@@ -210,6 +211,7 @@ def _score(n: int, v: int, weights: np.ndarray):
             total = lambda x, ends=ends: np.add.reduceat(x, ends[:-1]) if len(ends) > 1 else np.empty(0)
             fold = crc_mod(pa.array(ids, pa.int64()), MODULUS)
             yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array(fold == LEFT_OUT), "n_tokens": pa.array(np.diff(ends), pa.int64()), "n_known": pa.array(total((word > 0).astype(np.int64)), pa.int64()), "train_tokens": pa.array(np.full(len(ids), n), pa.int64()), "base_score": pa.array(total(base)), "score": pa.array(total(mixed))})
+        give_back()
 
     return run
 
