@@ -166,10 +166,11 @@ def links(distinct: DataFrame, distance: int = RADIUS, words: int = 1, reach: in
     """(a, b) pairs of fp that span the same components as all links found between the fingerprints.
 
     segments: of a word, 3 up to 2**23 fingerprints, 2 beyond, so that a segment has about as many values as there are
-    rows. reach: radius of the balls; by default the one that finds every link.
+    rows; always 3 if a reach is given, as what a fixed reach finds depends on the segments. reach: radius of the balls;
+    by default the one that finds every link.
     """
     n = partitions(distinct)
-    segments = segments or (3 if distinct.count() < 1 << 23 else 2)
+    segments = segments or (3 if reach is not None or distinct.count() < 1 << 23 else 2)
     radius = distance // (segments * words) if reach is None else reach
     lead = min(min(b for _, b in layout(segments)) - 1, max(1, int(np.ceil(np.log2(4 * n / (segments * words))))))
     kind = ", ".join(f"{c} long" for c in ("fp", *columns(words)))

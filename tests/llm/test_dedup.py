@@ -113,6 +113,23 @@ def test_links_find_every_pair(spark, segments, distance):
     assert [got(s) for s in signed] == [want(s) for s in signed]
 
 
+def test_links_of_a_given_reach_do_not_depend_on_size(spark, monkeypatch):
+    rng = random.Random(5)
+    prints = []
+    for _ in range(60):
+        own = [rng.getrandbits(64) for _ in range(3)]
+        other = list(own)
+        for bit in rng.sample(range(192), 30):
+            other[bit // 64] ^= 1 << bit % 64
+        prints += [own, other]
+    rows = [(k, *(x - (1 << 64) if x >> 63 else x for x in p)) for k, p in enumerate(prints)]
+    distinct = spark.createDataFrame(rows, "fp long, w0 long, w1 long, w2 long")
+    found = lambda: {(r["a"], r["b"]) for r in simhash.links(distinct, 34, 3, 1).collect()}
+    few = found()
+    monkeypatch.setattr(type(distinct), "count", lambda self: 1 << 23)
+    assert found() == few and few
+
+
 def test_components_of_long_chains(spark):
     chain = [(k, k + 1) for k in range(60)] + [(100, 101), (103, 102), (101, 103), (-5, -9)]
     got = {r["a"]: r["b"] for r in simhash.components(spark.createDataFrame(chain, "a long, b long")).collect()}
