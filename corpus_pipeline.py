@@ -10,9 +10,9 @@ from quartzlog.llm import exact_dedup, mixing, packing, simhash, toxicity
 from quartzlog.llm._common import durable_dir
 from quartzlog.llm.queries import vocabulary
 
-#: Near duplicates share 0.8 or more of their five-word shingles. Such texts' fingerprints differ in 15 % of their bits on
-#: average: of three words (192 bits) at most 34 may differ.
-NEAR = {"shingle": 5, "words": 3, "distance": 34, "reach": 1}
+#: Near duplicates share 0.8 or more of their five-word shingles, which is checked. Such texts' fingerprints differ in 15 %
+#: of their bits on average: of three words (192 bits) at most 34 may differ. Of nine segments one differs in at most 3 bits.
+NEAR = {"shingle": 5, "words": 3, "distance": 34, "reach": 3, "jaccard": 0.8}
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,11 +6,12 @@ of some segment, so looking up the Hamming ball of that radius around each segme
 value finds every link; complete distances are verified. Only distinct fingerprints take part: copies meet before.
 
 A fingerprint may have several 64-bit words (the hashes are mixed anew for each), which tells texts of lower similarity
-apart from chance. Then `reach`, the radius of the balls, is usually set below the one that finds every link: a pair that
-differs in a share p of the bits is found unless all segments differ in more than `reach` bits.
+apart from chance. With a `reach`, the radius of the balls, below the one that finds every link, a pair is found unless
+all segments differ in more than `reach` bits. drop_near_duplicates can also ask for a Jaccard similarity of the shingles:
+the components that the fingerprints' links make are then split by links that hold both, each component in one task.
 
 Table and probes are dealt by a segment's leading bits. Balls over the trailing bits are enumerated inside the task;
-only flips of leading bits travel, as rows. A task reduces its verified links to a spanning forest before it emits them,
+only flips of leading bits travel, as rows, and of two values only one to the other. A task reduces its verified links to a spanning forest before it emits them,
 so that a group of near copies yields as many rows as members, not as pairs. Components come from alternating
 large-star and small-star rounds on durable tables.
 
@@ -32,20 +33,30 @@ from ._common import durable, give_back, mix, partitions, pick, raw
 SHINGLE, SEED, RADIUS = 4, 42, 4
 PROBES = 1 << 20
 BITS_AT_ONCE = 1 << 16
+FLIPS = 16  # most rows of a fingerprint and segment before half of them are left out
+DIRECT = 22  # trailing bits up to which a table is addressed directly
+MEMBERS = 4096
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED, words: int = 1) -> list[int]:
-    """The fingerprint's words; the first one is the plain fingerprint."""
+def shingles(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """The hashes of the text's shingles, in order."""
     parts = text.lower().split()  # of bytes: A-Z and ASCII white space only
     if not parts:
-        return [0] * words
+        return np.empty(0, np.uint64)
     n = max(1, len(parts) - shingle + 1)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
     joined, digest = b" ".join(parts), xxhash.xxh64_intdigest
     begin = np.concatenate([[0], ends[: n - 1]]).tolist()
     end = (ends[min(shingle, len(parts)) - 1 :][:n] - 1).tolist()
-    hashed = np.fromiter((digest(joined[a:b], seed) for a, b in zip(begin, end)), np.uint64, n)
-    out = []
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(begin, end)), np.uint64, n)
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED, words: int = 1) -> list[int]:
+    """The fingerprint's words; the first one is the plain fingerprint."""
+    hashed = shingles(text, shingle, seed)
+    n, out = len(hashed), []
+    if not n:
+        return [0] * words
     for k in range(words):
         with np.errstate(over="ignore"):
             own = mix(hashed + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15)) if k else hashed
@@ -59,16 +70,16 @@ def columns(words: int) -> list[str]:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, words: int = 1) -> DataFrame:
-    """doc_id, fp (names the fingerprint: itself if of one word, else a hash of its words), w0, w1, ... (signed longs)."""
+    """doc_id, text_hash, fp (names the fingerprint: itself if of one word, else a hash of its words), w0, w1, ... (signed longs)."""
 
     def run(batches):
         for batch in batches:
             body, at = raw(batch.column("text"))
             body = body.tobytes()
             found = np.array([fingerprint(body[a:b], shingle, SEED, words) for a, b in zip(at[:-1].tolist(), at[1:].tolist())], np.uint64).reshape(-1, words).view(np.int64)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")} | {c: pa.array(found[:, k], pa.int64()) for k, c in enumerate(columns(words))})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash")} | {c: pa.array(found[:, k], pa.int64()) for k, c in enumerate(columns(words))})
 
-    rows = pick(docs, id_col, text_col).mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in columns(words)))
+    rows = pick(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, "doc_id long, text_hash long, " + ", ".join(f"{c} long" for c in columns(words)))
     return rows.withColumn("fp", F.col("w0") if words == 1 else F.xxhash64(*columns(words)))
 
 
@@ -101,7 +112,10 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 
 def _deal(words: int, segments: int, lead: int, radius: int):
-    """Each fingerprint once per segment (own) and once per flip of leading bits: route, key, left (the radius that remains), fp, words."""
+    """Each fingerprint once per segment (own) and once per flip of leading bits: route, key, left (the radius that remains), fp, words.
+
+    Of two leading values only one is sent to the other's route; which one, the bits that they share decide.
+    """
 
     def run(batches):
         for batch in batches:
@@ -113,7 +127,11 @@ def _deal(words: int, segments: int, lead: int, radius: int):
                     for mask in ball(lead, radius):
                         key = part ^ (mask << trail)
                         dealt = (key >> trail).astype(np.int64) + (number << lead), key.astype(np.int64) + (number << 40), np.full(len(batch), radius - int(mask).bit_count(), np.int32)
-                        yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in dealt), *own], ["route", "key", "left", "fp", *columns(words)])
+                        sent = pa.RecordBatch.from_arrays([*(pa.array(x) for x in dealt), *own], ["route", "key", "left", "fp", *columns(words)])
+                        if mask:
+                            head, lowest = part >> trail, np.uint64(int(mask) & -int(mask))
+                            sent = sent.filter(pa.array(((head & lowest) > 0) ^ (np.bitwise_count(head & ~mask) % 2 > 0)))
+                        yield sent
 
     return run
 
@@ -122,41 +140,45 @@ def _match(words: int, segments: int, lead: int, radius: int, distance: int):
     """Table lookups of one partition and its verified links as a spanning forest: (a, b), b the smaller fingerprint."""
 
     def run(batches):
-        got = [[b.column(c).to_numpy() for c in ("key", "left", "fp", *columns(words))] for b in batches if len(b)]
+        got = [[b.column(c).to_numpy() for c in ("route", "key", "left", "fp", *columns(words))] for b in batches if len(b)]
         if not got:
             return
-        key, left, fp, *value = (np.concatenate(x) for x in zip(*got))
+        route, key, left, fp, *value = (np.concatenate(x) for x in zip(*got))
         del got
-        own = np.flatnonzero(left == radius)
-        own = own[np.argsort(key[own], kind="stable")]
-        table = key[own]
         nodes, first, node = np.unique(fp, return_index=True, return_inverse=True)
         bits = [x[first].view(np.uint64) for x in value]
         del fp, value
         root = np.arange(len(nodes))
-        trail = max(b for _, b in layout(segments)) - lead
-        for used in range(radius + 1):  # flips spent on leading bits
-            probe = np.flatnonzero(left == radius - used)
-            for mask in ball(trail, radius - used):
-                wanted = key[probe] ^ np.int64(mask)
-                first, last = np.searchsorted(table, wanted), np.searchsorted(table, wanted, "right")
-                hit = np.flatnonzero(last > first)
-                counts = (last - first)[hit]
-                cuts = np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(counts) // PROBES)) + 1, [len(hit)]])
-                for x, y in zip(cuts[:-1], cuts[1:]):
-                    n = counts[x:y]
-                    a = np.repeat(node[probe[hit[x:y]]], n)
-                    ends = np.cumsum(n)
-                    b = node[own[np.repeat(first[hit[x:y]] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]]
-                    near = (a < b) | (used > 0) & (a != b)
-                    a, b = a[near], b[near]
-                    near = sum(np.bitwise_count(x[a] ^ x[b]).astype(np.int64) for x in bits) <= distance
-                    a, b = root[a[near]], root[b[near]]
-                    if (a != b).any():
-                        root = forest(a, b, len(nodes))[root]
+        order = np.lexsort((key, route))
+        for rows in np.split(order, np.flatnonzero(np.diff(route[order])) + 1):
+            trail = layout(segments)[(int(route[rows[0]]) >> lead) % segments][1] - lead
+            tail = key[rows] & ((1 << trail) - 1)
+            own = left[rows] == radius
+            table, at = tail[own], rows[own]
+            starts = np.searchsorted(table, np.arange((1 << trail) + 1)) if trail <= DIRECT else None
+            for used in range(radius + 1):  # flips spent on leading bits
+                probe = left[rows] == radius - used
+                value, probe = tail[probe], node[rows[probe]]
+                for mask in ball(trail, radius - used):
+                    wanted = value ^ np.int64(mask)
+                    first, last = (starts[wanted], starts[wanted + 1]) if starts is not None else (np.searchsorted(table, wanted), np.searchsorted(table, wanted, "right"))
+                    hit = np.flatnonzero(last > first)
+                    counts = (last - first)[hit]
+                    cuts = np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(counts) // PROBES)) + 1, [len(hit)]])
+                    for x, y in zip(cuts[:-1], cuts[1:]):
+                        n = counts[x:y]
+                        a = np.repeat(probe[hit[x:y]], n)
+                        ends = np.cumsum(n)
+                        b = node[at[np.repeat(first[hit[x:y]] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]]
+                        near = (a < b) | (used > 0) & (a != b)
+                        a, b = a[near], b[near]
+                        near = sum(np.bitwise_count(x[a] ^ x[b]).astype(np.int64) for x in bits) <= distance
+                        a, b = root[a[near]], root[b[near]]
+                        if (a != b).any():
+                            root = forest(a, b, len(nodes))[root]
         linked = np.flatnonzero(root != np.arange(len(nodes)))
         yield pa.RecordBatch.from_pydict({"a": pa.array(nodes[linked], pa.int64()), "b": pa.array(nodes[root[linked]], pa.int64())})
-        del key, left, own, table, nodes, node, bits, root, linked
+        del route, key, left, order, nodes, node, bits, root, linked
         give_back()
 
     return run
@@ -173,6 +195,8 @@ def links(distinct: DataFrame, distance: int = RADIUS, words: int = 1, reach: in
     segments = segments or (3 if reach is not None or distinct.count() < 1 << 23 else 2)
     radius = distance // (segments * words) if reach is None else reach
     lead = min(min(b for _, b in layout(segments)) - 1, max(1, int(np.ceil(np.log2(4 * n / (segments * words))))))
+    while lead > 1 and len(ball(lead, radius)) > FLIPS:
+        lead -= 1
     kind = ", ".join(f"{c} long" for c in ("fp", *columns(words)))
     dealt = distinct.select("fp", *columns(words)).mapInArrow(_deal(words, segments, lead, radius), f"route long, key long, left int, {kind}")
     return dealt.repartition(n, "route").mapInArrow(_match(words, segments, lead, radius, distance), "a long, b long").distinct()
@@ -196,20 +220,96 @@ def components(pairs: DataFrame) -> DataFrame:
         before = state
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = RADIUS, shingle: int = SHINGLE, words: int = 1, reach: int | None = None) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits a word), component_id (smallest doc_id that links reach) for every row."""
+def _rooted(docs: DataFrame, id_col: str, text_col: str, distance: int, shingle: int, words: int, reach: int | None) -> tuple[DataFrame, DataFrame]:
+    """Rows' fingerprints, and the distinct ones with the root that links reach, their number of rows and `first`, the
+    least (doc_id, text_hash) among them."""
     rows = durable(fingerprints(docs, id_col, text_col, shingle, words))
-    distinct = durable(rows.groupBy("fp", *columns(words)).agg(F.min("doc_id").alias("first_id")))
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))).alias("first")
+    distinct = durable(rows.groupBy("fp", *columns(words)).agg(first, F.count(F.lit(1)).alias("n")))
     roots = components(links(distinct, distance, words, reach))
-    rooted = distinct.join(roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return rows, distinct.join(roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = RADIUS, shingle: int = SHINGLE, words: int = 1, reach: int | None = None) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits a word), component_id (smallest doc_id that links reach) for every row."""
+    rows, rooted = _rooted(docs, id_col, text_col, distance, shingle, words, reach)
+    least = rooted.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     digits = F.concat(*(F.lpad(F.lower(F.hex(c)), 16, "0") for c in columns(words)))
     return rows.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs that name their component, with all their columns; rows of null id stay."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+def split(prints: list[np.ndarray], sets: list[np.ndarray], distance: int, jaccard: float) -> np.ndarray:
+    """For members 0..n-1 of a component: the smallest member reached by links of at most `distance` bits and at least
+    `jaccard` similarity. A member is compared with those that are not reached yet, so a close group costs few rounds."""
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    size, held = np.diff(ends), np.unique(np.concatenate(sets), return_inverse=True)[1]
+    mark = np.zeros(held.max(initial=-1) + 1, bool)
+    root, apart = np.full(len(sets), -1), np.arange(len(sets))
+    while len(apart):
+        name, reached, apart = apart[0], [apart[0]], apart[1:]
+        root[name] = name
+        while reached and len(apart):
+            k = reached.pop()
+            mark[held[ends[k] : ends[k + 1]]] = True
+            near = np.flatnonzero(sum(np.bitwise_count(x[apart] ^ x[k]).astype(np.int64) for x in prints) <= distance)
+            linked = []
+            for x in range(0, len(near), MEMBERS):
+                some = apart[near[x : x + MEMBERS]]
+                both = np.array([np.count_nonzero(mark[held[ends[j] : ends[j + 1]]]) for j in some])
+                either = size[some] + size[k] - both
+                linked.append(near[x : x + MEMBERS][(both / np.maximum(either, 1) >= jaccard) | (either == 0)])
+            mark[held[ends[k] : ends[k + 1]]] = False
+            linked = np.concatenate([*linked, np.empty(0, np.int64)]).astype(np.int64)
+            root[apart[linked]] = name
+            reached += apart[linked].tolist()
+            apart = np.delete(apart, linked)
+    return root
+
+
+def _split(words: int, shingle: int, distance: int, jaccard: float):
+    """Rows (root, doc_id, text_hash, words, text), a component's together, to those that another row of theirs outlives."""
+
+    def run(batches):
+        def flush(root, rows):
+            rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))  # a null id names nothing
+            prints = [np.array([r[2][k] for r in rows], np.int64).view(np.uint64) for k in range(words)]
+            found = split(prints, [r[3] for r in rows], distance, jaccard)
+            return [r[:2] for k, r in enumerate(rows) if found[k] != k and r[0] is not None]
+
+        last, rows, out = None, [], []
+        for batch in batches:
+            got = batch.to_pydict()
+            for root, i, h, t, *own in zip(*(got[c] for c in ("root", "doc_id", "text_hash", "text", *columns(words)))):
+                if rows and root != last:
+                    out += flush(last, rows)
+                    rows = []
+                last = root
+                rows.append((i, h, own, np.unique(shingles(t.encode(), shingle))))
+        if rows:
+            out += flush(last, rows)
+        yield pa.RecordBatch.from_pydict({"doc_id": pa.array([i for i, _ in out], pa.int64()), "text_hash": pa.array([h for _, h in out], pa.int64())})
+        give_back()
+
+    return run
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = RADIUS, shingle: int = SHINGLE, words: int = 1, reach: int | None = None, jaccard: float | None = None) -> DataFrame:
+    """The row of least id in each component, with all its columns; rows of null id stay.
+
+    jaccard: links also need this similarity of the texts' sets of shingles.
+    """
+    rows, rooted = _rooted(docs, id_col, text_col, distance, shingle, words, reach)
+    body = pick(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    if jaccard is None:
+        least = rooted.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
+        named = rooted.join(least, "root").select("fp", "component_id")
+        gone = rows.join(named, "fp").where("doc_id <> component_id").select("doc_id").distinct()
+        return docs.join(gone.select(F.col("doc_id").alias("__gone")), F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    several = rooted.groupBy("root").agg(F.sum("n").alias("rows")).where("rows > 1").select("root")
+    members = rows.join(rooted.join(several, "root").select("fp", "root"), "fp").select("root", F.col("doc_id").alias("i"), F.col("text_hash").alias("h"), *columns(words)).distinct()
+    texts = body.join(members, (body["text_hash"] == members["h"]) & body["doc_id"].eqNullSafe(members["i"])).select("root", "doc_id", "text_hash", "text", *columns(words))
+    texts = texts.dropDuplicates(["root", "doc_id", "text_hash"])
+    gone = durable(texts.repartition(partitions(docs), "root").sortWithinPartitions("root").mapInArrow(_split(words, shingle, distance, jaccard), "doc_id long, text_hash long"))
+    gone = gone.select(F.col("doc_id").alias("__gone"), F.col("text_hash").alias("__hash"))
+    return docs.join(gone, (F.col(id_col).cast("long") == F.col("__gone")) & (F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))) == F.col("__hash")), "left_anti")

@@ -143,6 +143,34 @@ def test_drop_near_duplicates(spark, corpus):
     assert all(i in ids for i in range(200, 230)) and kept.columns[:2] == ["doc_id", "text"]
 
 
+def test_pipeline_near_copies_against_all_pairs(spark):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    rows = []
+    for k in range(60):
+        near = random_text(rng, 300).split()
+        for _ in range(5):
+            own = list(near)
+            for at in rng.sample(range(300), rng.choice([2, 5, 8, 11])):
+                own[at] = random_text(rng, 1) + "z"
+            rows.append((len(rows), " ".join(own)))
+    rows += [(1000, ""), (1001, " "), (1002, "a b"), (1003, "A  b"), (1004, "a c")]
+    grams = []
+    for _, t in rows:
+        w = t.lower().split()
+        grams.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    prints = [simhash.fingerprint(t.encode(), 5, 42, 3) for _, t in rows]
+
+    def linked(a, b):
+        either = len(grams[a] | grams[b])
+        return sum((x ^ y).bit_count() for x, y in zip(prints[a], prints[b])) <= 34 and (not either or len(grams[a] & grams[b]) / either >= 0.8)
+
+    find = union(range(len(rows)), [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if linked(a, b)])
+    got = simhash.drop_near_duplicates(frame(spark, rows), **corpus_pipeline.NEAR).collect()
+    assert sorted(r["doc_id"] for r in got) == [i for k, (i, _) in enumerate(rows) if find(k) == k]
+
+
 def substring_expected(rows, length):
     low = -(1 << 63)
     first = {}
