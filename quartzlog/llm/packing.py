@@ -1,10 +1,11 @@
 """Mixture-controlled packing by deficit round-robin.
 
-Documents are tokenised once into a durable table. Each partition of it packs its own documents: every source is a queue,
+Documents are spread over partitions by a hash, so that each holds its part of every source however the input is laid out,
+and keep their order there. They are tokenised once into a durable table. Each partition of it packs its own documents: every source is a queue,
 every window of SEQUENCE tokens credits each queue with its target share of the window, and queues with credit are served
 in turn, at most TURN tokens of the head document a visit; what a queue is owed or has overdrawn (its deficit) carries
 over to the next window. Across partitions the carry is known beforehand: what the targets promised a source over all
-earlier partitions less what these held of it, from sums by partition and source. No token moves between partitions.
+earlier partitions less what these held of it, from sums by partition and source. No token moves after that.
 
 A partition's last tokens, fewer than a window, fill sequences whose sizes are the powers of two that add up to them, so
 nothing is padded. A sequence's id is its partition's number times 2**32 plus its place there.
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import durable, give_back, raw, slices
+from ._common import durable, give_back, partitions, raw, slices
 
 SEQUENCE, TURN = 4096, 1024
 END_ID = 2
@@ -182,13 +183,13 @@ def round_robin(lengths: list[int], queue_of: list[int], shares: list[float], de
     deficit, done, at = list(deficits), [0] * len(lengths), 0
     live = [q for q in range(len(queues)) if queues[q]]
     mean = sum(deficit[q] for q in live) / max(1, len(live))
-    bound = 16.0 * size
-    deficit = [max(-bound, min(bound, d - mean)) for d in deficit]
+    deficit = [d - mean for d in deficit]
     for window, room in enumerate(windows(sum(lengths), size)):
         offset = 0
         credit = room
         while offset < room:
             scale = credit / sum(weight[q] for q in live)
+            scale = max(scale, min((1 - deficit[q]) / weight[q] for q in live))  # all far overdrawn: as many credits at once
             for q in live:
                 deficit[q] += weight[q] * scale
             credit = room
@@ -242,9 +243,16 @@ def _pack(size: int, turn: int):
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 
 
+def spread(docs: DataFrame, *columns: str) -> DataFrame:
+    """These columns of docs, rows dealt by a hash of their place; each partition in the order of the places."""
+    rows = docs.select(*columns).withColumn("__at", F.monotonically_increasing_id()).withColumn("__to", F.xxhash64("__at"))
+    return rows.repartition(partitions(docs), "__to").sortWithinPartitions("__at").drop("__at", "__to")
+
+
 def pack(docs: DataFrame, path: str, targets: dict | None = None, size: int = SEQUENCE, turn: int = TURN, end_id: int = END_ID, **columns: str) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source."""
-    tokens = tokenised(docs, path, end_id, **columns)
+    names = [columns.get(f"{c}_col", d) for c, d in (("id", "doc_id"), ("text", "text"), ("source", "source"))]
+    tokens = tokenised(spread(docs, *dict.fromkeys(names)), path, end_id, **columns)
     carry = durable(carries(tokens, targets))
     small = (carry.agg(F.sum(F.size("queues"))).first()[0] or 0) <= CARRY_ROWS
     joined = tokens.join(F.broadcast(carry) if small else carry, "part", "left").withColumn("queues", F.when(F.col("pos") == 0, F.col("queues")))

@@ -91,6 +91,29 @@ def test_windows_follow_the_targets():
     assert first[0] == 1  # what a source is owed comes first
 
 
+def test_large_debts_are_paid_in_full():
+    served = [0, 0]
+    for doc, _, length, window, _ in packing.round_robin([500] * 2000, [k % 2 for k in range(2000)], [0.5, 0.5], [-200_000.0, 200_000.0]):
+        served[doc % 2] += length
+        if window == 60:
+            break
+    assert served[0] == 0 and served[1] > 60 * 4096
+
+
+def test_windows_of_clustered_input_follow_the_targets(spark):
+    rows = [(i, " ".join(rng.choice(["river", "stone", "cloud"]) for _ in range(60)), "abc"[i // 1000]) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(3)
+    pieces = packing.pack(docs, vocabulary()).collect()
+    total, held = collections.Counter(), collections.defaultdict(collections.Counter)
+    for r in pieces:
+        total[r["source"]] += r["length"]
+        held[r["sequence_id"]][r["source"]] += r["length"]
+    full = [h for h in held.values() if sum(h.values()) == 4096]
+    due = {s: n / sum(total.values()) for s, n in total.items()}
+    close = [all(abs(h[s] / 4096 - due[s]) < 0.1 for s in due) for h in full]
+    assert len(full) > 20 and sum(close) >= 0.8 * len(close)
+
+
 def test_carries_across_partitions(spark):
     rows = [(0, 0, "a", 100), (0, 1, "b", 300), (1, 0, "a", 200), (2, 0, "b", 10), (2, 1, None, 30)]
     tokens = spark.createDataFrame(rows, "part long, pos long, source string, n long")
