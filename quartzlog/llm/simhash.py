@@ -294,22 +294,27 @@ def _split(words: int, shingle: int, distance: int, jaccard: float):
     return run
 
 
+def _without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs without the rows of these (doc_id, text_hash): an id may have several texts."""
+    gone = gone.select(F.col("doc_id").alias("__gone"), F.col("text_hash").alias("__hash"))
+    return docs.join(gone, (F.col(id_col).cast("long") == F.col("__gone")) & (F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))) == F.col("__hash")), "left_anti")
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = RADIUS, shingle: int = SHINGLE, words: int = 1, reach: int | None = None, jaccard: float | None = None) -> DataFrame:
-    """The row of least id in each component, with all its columns; rows of null id stay.
+    """The row of least id in each component (of several texts of that id, one), with all its columns; rows of null id stay.
 
     jaccard: links also need this similarity of the texts' sets of shingles.
     """
     rows, rooted = _rooted(docs, id_col, text_col, distance, shingle, words, reach)
-    body = pick(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     if jaccard is None:
-        least = rooted.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
-        named = rooted.join(least, "root").select("fp", "component_id")
-        gone = rows.join(named, "fp").where("doc_id <> component_id").select("doc_id").distinct()
-        return docs.join(gone.select(F.col("doc_id").alias("__gone")), F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+        least = rooted.groupBy("root").agg(F.min("first").alias("least"))
+        named = rooted.join(least, "root").select("fp", "least")
+        gone = rows.join(named, "fp").where("doc_id <> least.doc_id OR text_hash <> least.text_hash").select("doc_id", "text_hash").distinct()
+        return _without(docs, gone, id_col, text_col)
+    body = pick(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     several = rooted.groupBy("root").agg(F.sum("n").alias("rows")).where("rows > 1").select("root")
     members = rows.join(rooted.join(several, "root").select("fp", "root"), "fp").select("root", F.col("doc_id").alias("i"), F.col("text_hash").alias("h"), *columns(words)).distinct()
     texts = body.join(members, (body["text_hash"] == members["h"]) & body["doc_id"].eqNullSafe(members["i"])).select("root", "doc_id", "text_hash", "text", *columns(words))
     texts = texts.dropDuplicates(["root", "doc_id", "text_hash"])
     gone = durable(texts.repartition(partitions(docs), "root").sortWithinPartitions("root").mapInArrow(_split(words, shingle, distance, jaccard), "doc_id long, text_hash long"))
-    gone = gone.select(F.col("doc_id").alias("__gone"), F.col("text_hash").alias("__hash"))
-    return docs.join(gone, (F.col(id_col).cast("long") == F.col("__gone")) & (F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))) == F.col("__hash")), "left_anti")
+    return _without(docs, gone, id_col, text_col)

@@ -171,6 +171,16 @@ def test_pipeline_near_copies_against_all_pairs(spark):
     assert sorted(r["doc_id"] for r in got) == [i for k, (i, _) in enumerate(rows) if find(k) == k]
 
 
+@pytest.mark.parametrize("jaccard", [None, 0.8])
+def test_drop_near_duplicates_of_repeated_ids(spark, jaccard):
+    rng = random.Random(2)
+    near, clean, twin = (random_text(rng, 300) for _ in range(3))
+    rows = [(1, near), (2, near + " more"), (2, clean), (3, twin), (3, twin + " more"), (4, twin + " most")]
+    got = simhash.drop_near_duplicates(frame(spark, rows), shingle=5, words=3, distance=34, jaccard=jaccard).collect()
+    kept = sorted((r["doc_id"], r["text"]) for r in got)
+    assert kept[0] == (1, near) and kept[1] == (2, clean) and [i for i, _ in kept] == [1, 2, 3]
+
+
 def substring_expected(rows, length):
     low = -(1 << 63)
     first = {}
