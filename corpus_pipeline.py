@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from quartzlog.llm import exact_dedup, mixing, packing, simhash, toxicity
-from quartzlog.llm._common import durable_dir
+from quartzlog.llm._common import durable_dir, partitions
 from quartzlog.llm.queries import vocabulary
 
 #: Near duplicates share 0.8 or more of their five-word shingles, which is checked. Such texts' fingerprints differ in 15 %
@@ -31,8 +31,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document once, those of small sources up to twice, at temperature-mixed weights."""
-    return mixing.mix(docs).select(*docs.columns)
+    """Every document once, those of small sources up to twice, at temperature-mixed weights, in the order of the mix."""
+    order = ["mix_epoch", "mix_block_order", "mix_order"]
+    return mixing.mix(docs).repartitionByRange(partitions(docs), *order).sortWithinPartitions(*order).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,3 +93,13 @@ def test_run(spark):
     frame = pipeline.run(spark, SF)
     assert frame.columns[:3] == ["doc_id", "start", "length"] and frame.count() > 0
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "mixing", "packing"]
+
+
+def test_mixed_rows_stand_in_the_order_of_the_mix(spark, tmp_path):
+    from quartzlog.llm import mixing
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").dropDuplicates(["doc_id"])
+    order = ["mix_epoch", "mix_block_order", "mix_order", "doc_id"]
+    want = [r["doc_id"] for r in mixing.mix(docs).orderBy(*order).collect()]
+    got = [r["doc_id"] for r in pipeline.mix_sources(spark, docs, SF).collect()]
+    assert got == want
