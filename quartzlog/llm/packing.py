@@ -17,79 +17,153 @@ longer than a window continues over several.
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import durable, give_back, partitions, raw, slices
+from ._common import LOWER, SPACE, durable, give_back, partitions, raw, slices, word_spans
 
 SEQUENCE, TURN = 4096, 1024
 END_ID = 2
 CARRY_ROWS = 200_000  # (partition, source) sums up to which the carries are broadcast; beyond, they are joined by shuffle
-CACHE = 300_000
+CACHE = 200_000
 SLICE = 4 << 20
 _loaded: dict = {}
 
 
-def packed(ids) -> bytes:
-    return array("I", ids).tobytes()
+#: The parts of a tokenizer file that make it work word by word, and the shape of its model.
+FORM = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+    "truncation": None,
+    "padding": None,
+}
+MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
+WIDTH = 16  # bytes of a piece up to which pieces are merged together
+LATIN = (0xC0, 0x250)  # code points of Latin letters with marks, two bytes each
+NONE = 1 << 27
+#: Bytes of words that are cut here: printable ASCII but the apostrophe (contractions) and < (special tokens); white space.
+PLAIN = SPACE.copy()
+PLAIN[[*range(0x21, 0x27), *range(0x28, 0x3C), *range(0x3D, 0x7F)]] = True
+KIND = np.full(256, 3, np.uint8)  # white space, letters, digits, others
+KIND[SPACE] = 0
+KIND[[*range(97, 123), *range(128, 256)]] = 1
+KIND[48:58] = 2
+
+
+def pair_tables(pairs: np.ndarray, n_ids: int) -> list[tuple[np.uint64, np.uint64, np.ndarray]]:
+    """(factor, shift, table) levels: a pair's slot holds pair and rank; of pairs with one slot all but one go on to the next level."""
+    if n_ids > 1 << 16:
+        raise ValueError("ids of pairs take 16 bits")
+    rest, out = np.arange(len(pairs)), []
+    while len(rest):
+        bits = max(6, int(4 * len(rest)).bit_length())
+        factor, shift = np.uint64(0x9E3779B1 + 2 * len(out)), np.uint64(32 - bits)
+        slot = (pairs[rest] * factor & np.uint64(0xFFFFFFFF)) >> shift
+        table = np.full(1 << bits, np.uint64(0xFFFFFFFFFFFFFFFF))
+        _, one = np.unique(slot, return_index=True)
+        table[slot[one]] = pairs[rest[one]] << np.uint64(16) | rest[one].astype(np.uint64)
+        out.append((factor, shift, table))
+        rest = np.delete(rest, one)
+    return out
 
 
 class WordTokenizer:
-    """Ids as the tokenizer file gives them, computed by distinct word.
+    """Ids as the tokenizer file gives them, computed by distinct piece of a word.
 
-    A file whose pre-tokeniser drops white space never merges across it, so a text's ids are those of its words in
-    order. Words of printable ASCII go piece by piece to the file's own model; all others through its whole pipeline.
-    A file that keeps white space is applied to whole texts.
+    A file of the FORM below drops white space and never merges across it, so a text's ids are those of its words in
+    order, and a word's are those of its pieces. Words of plain Latin letters, digits and marks are cut into pieces, and
+    the pieces' pairs merged, for all distinct pieces of a slice at once; all other words, and pieces over WIDTH bytes,
+    go through the file's whole pipeline. Files of any other form are applied to whole texts.
     """
 
-    #: The file's splitting pattern, for lower-case printable ASCII.
-    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-    PLAIN = re.compile(r"[\x21-\x7e]+")
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}  # ids as packed 32-bit integers
-        one = lambda s: self.whole.encode(s, add_special_tokens=False).ids
-        probe = ["don't", "x9y.", "?!ab", "été"]
-        self.by_word = all(one(gap.join(probe)) == sum(map(one, probe), []) and all(self._plain(p) == packed(one(p)) for p in probe[:3]) for gap in (" ", "\n", "\t \r\n"))
-
-    def _plain(self, word: str) -> bytes:
-        out, cache = [], self.cache
-        for piece in self.PIECES.findall(word.lower()):
-            ids = cache.get(piece)
-            if ids is None:
-                if len(cache) >= CACHE:
-                    cache.clear()
-                ids = cache[piece] = packed(t.id for t in self.model.tokenize(piece))
-            out.append(ids)
-        return out[0] if len(out) == 1 else b"".join(out)
-
-    def words(self, words: list[str]) -> list[bytes]:
-        out: list = [None] * len(words)
-        odd = []
-        for k, word in enumerate(words):
-            if self.PLAIN.fullmatch(word) and not ("<" in word and any(s in word for s in self.special)):
-                out[k] = self._plain(word)
-            elif (ids := self.cache.get("\0" + word)) is not None:
-                out[k] = ids
-            else:
-                odd.append(k)
-        for a in range(0, len(odd), 2000):  # the library's results are large
-            some = odd[a : a + 2000]
-            for k, e in zip(some, self.whole.encode_batch_fast([words[k] for k in some], add_special_tokens=False)):
-                out[k] = self.cache["\0" + words[k]] = packed(e.ids)
+        form = json.loads(self.whole.to_str())
+        model = form.pop("model")
+        vocab, merges = model.pop("vocab"), model.pop("merges")
+        self.by_word = all(form[k] == FORM[k] for k in FORM) and model == MODEL and all(t["special"] and "<" in t["content"] and not any(c.isspace() for c in t["content"]) for t in form["added_tokens"])
+        self.cache: dict[bytes, np.ndarray] = {}
+        if self.by_word:
+            letter = [*range(33, 127), *range(161, 173), *range(174, 256)]  # fixed: bytes that stand for themselves
+            name = {b: chr(b) for b in letter} | {b: chr(256 + k) for k, b in enumerate(sorted({*range(256)} - {*letter}))}
+            self.inner = np.array([vocab[name[b]] for b in range(256)], np.uint32)
+            self.last = np.array([vocab[name[b] + MODEL["end_of_word_suffix"]] for b in range(256)], np.uint32)
+            pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
+            self.merged = np.array([vocab[a + b] for a, b in pairs], np.uint32)
+            self.tables = pair_tables(np.array([vocab[a] << 16 | vocab[b] for a, b in pairs], np.uint64), len(vocab))
+            self.latin = np.zeros(LATIN[1] - LATIN[0], np.int64)  # lower-case code point, 0 if not handled here
+            for c in map(chr, range(*LATIN)):
+                low = self.whole.normalizer.normalize_str(c)
+                if c.isalpha() and len(low) == 1 and low.isalpha() and LATIN[0] <= ord(low) < LATIN[1]:
+                    self.latin[ord(c) - LATIN[0]] = ord(low)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of ids, NONE without a merge."""
+        key = left.astype(np.uint64) << np.uint64(16) | right
+        out = np.full(key.shape, NONE, np.uint32)
+        for factor, shift, table in self.tables:
+            found = table[(key * factor & np.uint64(0xFFFFFFFF)) >> shift]
+            hit = found >> np.uint64(16) == key
+            out[hit] = found[hit] & np.uint64(0xFFFF)
+        return out
+
+    def merge(self, pieces: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids (n x WIDTH, filled from the left) and their number, of distinct pieces given as rows of `size` bytes each.
+
+        Until no pair of a piece has a rank, its leftmost pair of least rank becomes one id; pieces of a length advance together.
+        """
+        out, count = np.zeros((len(pieces), WIDTH), np.uint32), np.ones(len(pieces), np.int64)
+        for n in np.unique(size):
+            at = np.flatnonzero(size == n)
+            ids = self.inner[pieces[at, :n].T]
+            ids[n - 1] = self.last[pieces[at, n - 1]]
+            rank = self._ranks(ids[:-1], ids[1:])
+            for width in range(int(n), 0, -1):
+                place = np.arange(width, dtype=np.uint32)[:, None]
+                best = (rank << np.uint32(4) | place[:-1]).min(axis=0) if width > 1 else np.full(len(at), NONE << 4, np.uint32)
+                done = best >> np.uint32(4) == NONE
+                if done.any():
+                    out[at[done], :width], count[at[done]] = ids[:, done].T, width
+                    at, ids, rank, best = at[~done], ids[:, ~done], rank[:, ~done], best[~done]
+                if not len(at):
+                    break
+                where, column = best & np.uint32(15), np.arange(len(at))
+                ids = np.where(place[:-1] <= where, ids[:-1], ids[1:])
+                ids[where, column] = self.merged[best >> np.uint32(4)]
+                rank = np.where(place[:-2] < where, rank[:-1], rank[1:])
+                some = np.flatnonzero(where > 0)
+                rank[where[some] - 1, some] = self._ranks(ids[where[some] - 1, some], ids[where[some], some])
+                some = np.flatnonzero(where < width - 2)
+                rank[where[some], some] = self._ranks(ids[where[some], some], ids[where[some] + 1, some])
+        return out, count
+
+    def _odd(self, units: list[bytes]) -> list[np.ndarray]:
+        """Ids of distinct words or pieces by the file's whole pipeline; short ones are kept, CACHE at most."""
+        out = [self.cache.get(u) for u in units]
+        missing = [k for k, x in enumerate(out) if x is None]
+        for a in range(0, len(missing), 2000):  # the library's results are large
+            some = missing[a : a + 2000]
+            for k, e in zip(some, self.whole.encode_batch_fast([units[k].decode() for k in some], add_special_tokens=False)):
+                out[k] = np.array(e.ids, np.uint32)
+                if len(units[k]) <= 64:
+                    if len(self.cache) >= CACHE:
+                        self.cache.clear()
+                    self.cache[units[k]] = out[k]
         return out
 
     def texts(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,27 +171,58 @@ class WordTokenizer:
         if not self.by_word:
             found = [[*e.ids, end_id] for e in self.whole.encode_batch_fast(column.to_pylist(), add_special_tokens=False)]
             return np.array([i for x in found for i in x], np.uint32), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
-        split = pc.ascii_split_whitespace(column)
-        runs = split.offsets.to_numpy().astype(np.int64)
-        coded = split.flatten().dictionary_encode()
-        keep = coded.dictionary.to_pylist()
-        ids = self.words(keep)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), np.uint32)
-        starts = np.cumsum(sizes) - sizes
-        at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        runs -= runs[0]
-        empty = np.zeros(len(at), bool)
-        if "" in keep:  # a text that begins or ends with white space
-            empty = at == keep.index("")
-        sizes_at = np.where(empty, 0, sizes[at]) if len(at) else np.empty(0, np.int64)
-        total = np.concatenate([[0], np.cumsum(sizes_at)])
-        spread = np.repeat((starts[at] if len(at) else at) - total[:-1], sizes_at) + np.arange(total[-1])
-        ends = total[runs[1:]] + np.arange(1, len(runs))
-        out = np.full(total[-1] + len(runs) - 1, end_id, np.uint32)
+        body, at = raw(column)
+        low, plain = LOWER[body], PLAIN[body]
+        lead = np.flatnonzero((body >= 0xC0 | LATIN[0] >> 6) & (body <= 0xC0 | LATIN[1] - 1 >> 6))
+        point = (body[lead] & 31).astype(np.int64) << 6 | body[lead + 1] & 63
+        small = self.latin[point - LATIN[0]] if len(lead) else point
+        lead, small = lead[small > 0], small[small > 0]
+        low[lead], low[lead + 1] = 0xC0 | small >> 6, 0x80 | small & 63
+        plain[lead] = plain[lead + 1] = True
+        begin, end = word_spans(body, at)
+        foreign = np.concatenate([[0], np.cumsum(~plain, dtype=np.int32)])
+        odd = foreign[end] > foreign[begin]
+        kind = KIND[low]
+        starts = np.zeros(len(body) + 1, bool)
+        starts[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        starts[:-1] &= kind > 0
+        change = np.zeros(len(body) + 1, np.int8)  # no pieces inside odd words
+        change[begin[odd]] += 1
+        change[end[odd]] -= 1
+        starts &= np.cumsum(change, dtype=np.int8) == 0
+        starts[begin] = True
+        first = np.flatnonzero(starts[:-1])
+        word = np.searchsorted(begin, first, "right") - 1
+        last = np.minimum(np.append(first[1:], len(body)), end[word]) if len(first) else first
+        size = last - first
+        slow = odd[word] | (size > WIDTH) if len(first) else np.empty(0, bool)
+        n_at, start_at = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        fast = np.flatnonzero(~slow)
+        flat = [np.empty(0, np.uint32)]
+        if len(fast):
+            shown = np.lib.stride_tricks.sliding_window_view(np.concatenate([low, np.zeros(WIDTH, np.uint8)]), WIDTH)[first[fast]]
+            shown = shown * (np.arange(WIDTH) < size[fast, None])
+            coded = pa.FixedSizeBinaryArray.from_buffers(pa.binary(WIDTH), len(fast), [None, pa.py_buffer(shown)]).dictionary_encode()
+            pieces = np.frombuffer(coded.dictionary.buffers()[1], np.uint8, len(coded.dictionary) * WIDTH).reshape(-1, WIDTH)
+            ids, count = self.merge(pieces, (pieces > 0).sum(1))
+            flat.append(ids[np.arange(WIDTH) < count[:, None]])
+            which = coded.indices.to_numpy()
+            n_at[fast], start_at[fast] = count[which], (np.cumsum(count) - count)[which]
+        rest = np.flatnonzero(slow)
+        if len(rest):
+            data, number = body.tobytes(), {}
+            which = np.array([number.setdefault(data[a:b], len(number)) for a, b in zip(first[rest].tolist(), last[rest].tolist())], np.int64)
+            found = self._odd(list(number))
+            count = np.array([len(x) for x in found], np.int64)
+            n_at[rest], start_at[rest] = count[which], (len(flat[-1]) + np.cumsum(count) - count)[which]
+            flat += found
+        flat = np.concatenate(flat)
+        total = np.concatenate([[0], np.cumsum(n_at)])
+        ends = total[np.searchsorted(first, at[1:])] + np.arange(1, len(at))
+        out = np.full(total[-1] + len(at) - 1, end_id, np.uint32)
         inner = np.ones(len(out), bool)
         inner[ends - 1] = False
-        out[inner] = flat[spread]
+        out[inner] = flat[np.repeat(start_at - total[:-1], n_at) + np.arange(total[-1])]
         return out, np.concatenate([[0], ends])
 
 
