@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from ..actions import KINDS, SCHEMA
 from ..errors import CommitFileExists, IllegalState
 from ..paths import checkpoint_names, join
-from . import replay
 from .segment import write_hint
 
 #: Kinds that a checkpoint holds.
 KEPT = ("metaData", "protocol", "txn", "add", "remove")
+PART_FILES = 500_000
 
 
 def rows(snapshot) -> DataFrame:
@@ -26,7 +26,7 @@ def rows(snapshot) -> DataFrame:
         fields = [F.col(n).alias(n) if n in df.columns else F.lit(None).cast(SCHEMA[kind].dataType[n].dataType).alias(n) for n in SCHEMA[kind].dataType.names]
         return df.select(*(F.struct(*fields).cast(SCHEMA[kind].dataType).alias(k) if k == kind else empty[k] for k in KINDS))
 
-    protocol, metadata = (replay.latest(snapshot.actions)[k] for k in (0, 1))
+    protocol, metadata = snapshot.latest
     single = lambda row, kind: spark.createDataFrame([row.asDict(recursive=True)], SCHEMA[kind].dataType)
     parts = [only(single(metadata, "metaData"), "metaData"), only(single(protocol, "protocol"), "protocol"), only(snapshot.set_transactions, "txn"), only(snapshot.files, "add"), only(snapshot.tombstones, "remove")]
     out = parts[0]
@@ -35,10 +35,14 @@ def rows(snapshot) -> DataFrame:
     return out
 
 
-def write(snapshot, store, parts: int = 1) -> int:
-    """Write the checkpoint of the snapshot's version and point the hint at it; returns its number of rows."""
+def write(snapshot, store, parts: int | None = None) -> int:
+    """Write the checkpoint of the snapshot's version and point the hint at it; returns its number of rows.
+
+    parts: by default one for every PART_FILES active files, so no task writes more than about that many rows.
+    """
     if snapshot.version < 0:
         raise IllegalState("an absent table has no checkpoint")
+    parts = parts or max(1, -(-snapshot.num_files // PART_FILES))
     frame = rows(snapshot)
     frame = frame.coalesce(1) if parts == 1 else frame.repartition(parts)
     aside = f".checkpoint-{uuid.uuid4().hex}.tmp"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..actions import KINDS, SCHEMA
@@ -17,18 +17,24 @@ def glob_escaped(path: str) -> str:
     return "".join("\\" + c if c in "[]{}*?\\" else c for c in path)
 
 
+def parsed(line: str) -> Column:
+    """A log line as a struct of its kinds, null if it is blank; malformed JSON is an error, never a lost row."""
+    return F.when(F.col(line).rlike(r"\S"), F.from_json(line, SCHEMA, {"mode": "FAILFAST"}))
+
+
 def commit_actions(spark: SparkSession, paths: list[str]) -> DataFrame:
     """version, pos, from_checkpoint and a struct per kind, for every line of commit files.
 
     pos orders the lines of a commit: where the line's split of the file begins, then the lines' running number in it. So a
-    commit of millions of lines is read in splits like any text.
+    commit of millions of lines is read in splits like any text. Blank lines are skipped; a line that is no JSON of the
+    schema fails the read.
     """
     if not paths:
         return spark.createDataFrame([], f"{ORDERED}, {', '.join(f'`{k}` {SCHEMA[k].dataType.simpleString()}' for k in KINDS)}")
     text = spark.read.text([glob_escaped(p) for p in paths])
     version = F.regexp_extract(F.col("_metadata.file_path"), r"(\d+)\.json[^/]*$", 1).cast("long")
     pos = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
-    lines = text.select(version.alias("version"), pos.alias("pos"), F.lit(False).alias("from_checkpoint"), F.from_json("value", SCHEMA).alias("a"))
+    lines = text.select(version.alias("version"), pos.alias("pos"), F.lit(False).alias("from_checkpoint"), parsed("value").alias("a"))
     return lines.where("a is not null").select("version", "pos", "from_checkpoint", *(F.col(f"a.{k}").alias(k) for k in KINDS))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +38,7 @@ class Snapshot:
     def __init__(self, spark: SparkSession, data_path: str, segment: Segment, now_ms: int, first_in_commit: bool = False):
         self.spark, self.data_path, self.segment, self.now_ms, self.first_in_commit = spark, data_path.rstrip("/"), segment, now_ms, first_in_commit
         if segment.version >= 0:
-            protocol, metadata = replay.latest(self.actions)
+            self.latest = protocol, metadata = replay.latest(self.actions)
             if protocol is None:
                 raise ActionNotFound("protocol", segment.version)
             if metadata is None:
@@ -66,7 +67,12 @@ class Snapshot:
 
     @cached_property
     def reconciled(self) -> DataFrame:
-        return replay.winners(self.actions).persist()
+        """Kept under a plan that names the log files' sizes and times: the session shares what it keeps between equal plans,
+        and another table may come to stand at the same path."""
+        stamp = hash(tuple((f.path, f.size, f.modified_ms) for f in self.segment.files))
+        kept = replay.winners(self.actions.where(F.lit(stamp).isNotNull())).persist()
+        weakref.finalize(self, kept.unpersist).atexit = False
+        return kept
 
     def release(self) -> None:
         """Give up the kept state; it is replayed again if asked for."""

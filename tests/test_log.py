@@ -358,3 +358,110 @@ def test_table_through_hadoop_file_systems(spark, tmp_path, monkeypatch):
     assert again.snapshot.segment.checkpoint_version == 1 and again.snapshot.version == 2
     assert sorted(map(tuple, again.to_df().collect())) == sorted(map(tuple, rows.collect()))
     assert again.to_df(P.col("p") == 2).count() == 4 and again.to_df(version=1).count() == 8
+
+
+@pytest.mark.parametrize("bad", ['{"add":{"path":"b"', "garbled", '{"add":{"path":"b","size":"many"}}'])
+def test_malformed_lines_fail_and_blank_ones_do_not(spark, tmp_path, bad):
+    start(tmp_path / "t", Add("a"), "", "  ", Add("c"))
+    assert paths_of(TableLog(spark, str(tmp_path / "t")).snapshot.files) == ["a", "c"]
+    put(tmp_path / "t", 1)  # an empty commit
+    assert TableLog(spark, str(tmp_path / "t")).snapshot.num_files == 2
+    put(tmp_path / "t", 2, Add("d"), bad, Add("e"))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        TableLog(spark, str(tmp_path / "t")).snapshot.files.collect()
+
+
+def test_a_table_made_anew_at_its_path_is_read_anew(spark, tmp_path):
+    import shutil
+
+    t = TableLog(spark, str(tmp_path / "t"))
+    t.append(spark.range(30).repartition(3))
+    assert t.snapshot.num_files == 3 and t.to_df().count() == 30
+    shutil.rmtree(tmp_path / "t")
+    other = TableLog(spark, str(tmp_path / "t"))
+    other.append(spark.range(5).coalesce(1))
+    again = TableLog(spark, str(tmp_path / "t"))
+    assert (again.snapshot.num_files, again.to_df().count(), t.update().num_files) == (1, 5, 1)
+
+
+def test_two_sinks_of_one_batch_write_it_once(spark, tmp_path, monkeypatch):
+    from quartzlog.streaming import sink
+
+    TableLog(spark, str(tmp_path)).append(spark.range(1).coalesce(1))
+    late, early = TableLog(spark, str(tmp_path)), TableLog(spark, str(tmp_path))
+    batch, write_files = spark.range(10).coalesce(1), late.write_files
+
+    def after_the_other(*args):
+        monkeypatch.setattr(late, "write_files", write_files)
+        sink(early, "app")(batch, 0)
+        return write_files(*args)
+
+    monkeypatch.setattr(late, "write_files", after_the_other)
+    sink(late, "app")(batch, 0)
+    assert TableLog(spark, str(tmp_path)).to_df().count() == 11
+
+
+def test_a_failed_checkpoint_leaves_the_commit(spark, tmp_path, monkeypatch):
+    from quartzlog.operators import checkpoint
+
+    t = TableLog(spark, str(tmp_path), defaults={"checkpointInterval": "1"})
+    t.create(spark.range(1))
+    monkeypatch.setattr(checkpoint, "write", lambda *a: 1 / 0)
+    with pytest.warns(UserWarning, match="version 1 is committed"):
+        assert t.append(spark.range(3)) == 1
+    assert TableLog(spark, str(tmp_path)).to_df().count() == 3
+
+
+def test_checkpoints_come_in_parts_by_size(spark, tmp_path, monkeypatch):
+    from quartzlog.operators import checkpoint
+
+    monkeypatch.setattr(checkpoint, "PART_FILES", 8)
+    start(tmp_path, *(Add(f"f{k}", size=k) for k in range(20)))
+    t = TableLog(spark, str(tmp_path))
+    t.checkpoint()
+    assert len(TableLog(spark, str(tmp_path)).snapshot.segment.checkpoint) == 3 and TableLog(spark, str(tmp_path)).snapshot.num_files == 20
+
+
+@pytest.mark.parametrize("conditional", [True, False])
+def test_two_writers_of_a_hadoop_store(spark, tmp_path, conditional):
+    stores = [HadoopStore(spark, f"file://{tmp_path}/s") for _ in range(2)]
+    for s in stores:
+        s.conditional = conditional
+        s.create()
+    wins = []
+    for k, s in enumerate(stores):
+        try:
+            s.write("a", [f"writer {k}"])
+            wins.append(k)
+        except CommitFileExists:
+            pass
+    assert wins == [0] and stores[1].read("a") == ["writer 0", ""]
+    stores[1].write("a", ["new"], overwrite=True)
+    assert stores[0].read("a") == ["new", ""] and [f.name for f in stores[0].list_from("a")] == ["a"]
+
+
+def test_a_damaged_hint_is_read_again(spark, tmp_path, monkeypatch):
+    from quartzlog.operators import segment
+
+    monkeypatch.setattr(segment, "HINT_PAUSE", 0)
+
+    class Store:
+        reads = ["{", '{"version": 3, "size": 1}']
+
+        def read(self, name):
+            return [self.reads.pop(0)]
+
+    assert segment.read_hint(Store()) == (3, None)
+    Store.reads = ["{"] * 3
+    assert segment.read_hint(Store()) is None and not Store.reads
+
+
+def test_overwrite_refuses_rows_of_other_partitions(spark, tmp_path):
+    t = TableLog(spark, str(tmp_path))
+    rows = spark.range(12).selectExpr("id", "cast(id % 3 as int) p")
+    t.append(rows, ["p"])
+    with pytest.raises(IllegalArgument):
+        t.overwrite(rows, P.col("p") == 1)
+    with pytest.raises(IllegalArgument):
+        t.overwrite(rows, P.col("id") == 1)
+    assert t.overwrite(rows.where("p = 1 and id > 5"), P.col("p") == 1) == 1 and t.to_df().count() == 10
