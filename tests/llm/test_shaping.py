@@ -204,31 +204,70 @@ def test_chat_plan_is_native(spark):
 
 
 def search(rows, query_ids, k, scale=256):
-    vectors = [(i, [np.floor(scale * float(np.float32(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    whole = lambda x: int(np.floor(scale * float(np.float64(x))))
+    vectors = [(i, [whole(x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
     for q, a in vectors:
         if q in query_ids:
             score = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in vectors if i != q)[:k]
-            out += [(q, n + 1, i, int(-s)) for n, (s, i) in enumerate(score)]
+            out += [(q, n + 1, i, max(-(1 << 63), min((1 << 63) - 1, -s))) for n, (s, i) in enumerate(score)]
     return sorted(out)
 
 
-@pytest.mark.parametrize("n,dims,k", [(400, 16, 5), (6, 3, 5), (900, 2, 3)])
-def test_top_k(spark, monkeypatch, n, dims, k):
+def asked(rows):
+    return {i for i, _ in rows if i is not None and i % 50 == 0}
+
+
+@pytest.mark.parametrize("n,dims,k,chunk", [(400, 16, 5, 1 << 25), (6, 3, 5, 1 << 25), (900, 2, 3, 100)])
+def test_top_k(spark, monkeypatch, n, dims, k, chunk):
     monkeypatch.setattr(topk, "BLOCK", 64)
+    monkeypatch.setattr(topk, "CHUNK_BYTES", chunk)
     source = np.random.default_rng(n)
     rows = [(int(i), source.normal(0, 0.3, dims).astype(np.float32).tolist()) for i in range(n)]
     rows += [(1000 + i, rows[1][1]) for i in range(4)]  # ties
-    rows += [(2000, None), (2001, [None] * dims), (2002, [float("nan")] * dims), (2003, [float("inf")] * dims), (None, rows[0][1]), (2004, rows[0][1][: dims - 1])]
+    rows += [(2000, None), (2001, [None] * dims), (2002, [float("nan")] * dims), (2003, [float("inf")] * dims), (None, rows[0][1]), (2004, rows[0][1][: dims - 1]), (2050, []), (3000, [0.0] * dims)]
     frame = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<float>, rank int, part int").repartition(3)
-    got = topk.top_k(frame, frame.where("vec_id % 50 = 0"), k).collect()
-    assert sorted(map(tuple, got)) == search(rows, {i for i, _ in rows if i is not None and i % 50 == 0}, k)
+    got = topk.top_k(frame, frame.where("vec_id % 50 = 0"), k).drop("depth").collect()
+    assert sorted(map(tuple, got)) == search(rows, asked(rows), k)
     assert topk.top_k(frame, frame.limit(0), k).count() == 0 and topk.top_k(frame.limit(0), frame.where("vec_id = 0"), k).count() == 0
 
 
-def test_aggregation_stops_early():
+@pytest.mark.parametrize("size,dims", [(4e4, 3), (4e4, 300), (1e9, 300), (1e15, 40)])
+def test_top_k_of_large_components(spark, monkeypatch, size, dims):
+    monkeypatch.setattr(topk, "BLOCK", 32)
+    source = np.random.default_rng(dims)
+    rows = [(i, (source.normal(0, 1, dims) * (size if i % 3 else 1.0)).tolist()) for i in range(150)]
+    rows += [(200 + i, [x + d / 256 for x, d in zip(rows[1][1], [i] + [0] * dims)]) for i in range(6)]  # apart by the last digit
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = topk.top_k(frame, frame.where("vec_id % 50 = 0"), 5).drop("depth").collect()
+    assert sorted(map(tuple, got)) == search(rows, asked(rows), 5)
+
+
+def test_top_k_keeps_vectors_beyond_any_limit(spark):
+    rows = [(0, [1.0, 0.5]), (1, [40000.0, 0.5]), (2, [2.0, 0.5]), (50, [1e200, -1e200])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(frame, frame.where("vec_id = 0"), 2).collect()
+    assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(50, (1 << 63) - 1), (1, 256 * 40000 * 256 + 128 * 128)]
+
+
+@pytest.mark.parametrize("shape", ["skewed", "flat"])
+def test_reading_stops_early_where_bounds_part(shape):
     source = np.random.default_rng(8)
-    block, queries = source.integers(-90, 90, (3000, 12)).astype(float), source.integers(-90, 90, (20, 12)).astype(float)
-    found = topk.aggregate(queries, block, np.arange(3000), np.full(20, -1), 5, depths=(0.1, 0.3, 1.0))
-    score = queries @ block.T
-    assert all(f.tolist() == np.lexsort((np.arange(3000), -s))[:5].tolist() for f, s in zip(found, score))
+    spread = 90 * 0.5 ** np.arange(12) if shape == "skewed" else np.full(12, 90.0)
+    block, queries = (np.floor(source.normal(0, 1, (n, 12)) * spread) for n in (3000, 30))
+    best, shares = topk.search(np.full(30, -1), queries, [(np.arange(3000), block), (np.arange(3000, 4000), block[:1000])], 5)
+    for found, q in zip(best, queries):
+        score = np.concatenate([block, block[:1000]]) @ q
+        order = np.lexsort((np.arange(4000), -score))[:5]
+        assert found == [(int(score[i]), int(i)) for i in order]
+    assert shares.max() < 0.95 and shares.mean() < (0.3 if shape == "skewed" else 0.8)
+
+
+def test_unseen_candidates_are_ruled_out_by_the_threshold():
+    block = np.array([[x, 0.0] for x in range(1000)])
+    lists = topk.Lists(np.arange(1000), block)
+    left, share, paid = topk.read(np.array([2.0, 1.0]), lists, -1, 3)
+    assert paid
+    assert {997, 998, 999} <= set(left.tolist()) and len(left) <= 64 and share < 0.2
+    assert topk.read(np.array([2.0, 1.0]), lists, -1, 3, least=1999.0)[1:] == (0.0, True)
+    assert topk.read(np.array([-1.0, 0.0]), lists, 0, 1)[0].tolist()[:1] == [1]
