@@ -13,42 +13,49 @@ def anchors(body: np.ndarray, at: np.ndarray, length: int, gram: int) -> tuple[n
     """(positions, hashes) of anchors: of each `length`-byte window within a text the leftmost `gram`-byte string of least hash.
 
     Which string of a window is chosen depends on the window's bytes alone, so equal windows have equal anchors at equal
-    distances, wherever they occur.
+    distances, wherever they occur. The least is found for keys whose lowest bits hold the place; the windows where whole
+    hashes tell otherwise are mended.
     """
     width = length - gram + 1
     places, hashes = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
     for a, b in slices(at, SLICE):
-        low, high = int(at[a]), int(at[b])
-        n = high - low
+        begin, n = int(at[a]), int(at[b] - at[a])
         if n < length:
             continue
-        own = body[low:high]
+        own = body[begin : begin + n]
         sums, (_, down) = prefix_hash(own), powers(n)
         with np.errstate(over="ignore"):
             value = mix((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
         # the least value of each run of `width` grams: halving steps, then its leftmost place
         bits = np.uint64(max(1, (n - 1).bit_length()))
         key = (value >> bits << bits) | np.arange(len(value), dtype=np.uint64)
-        least, span = key, 1
-        while span * 2 <= width:
-            least = np.minimum(least[:-span], least[span:])
-            span *= 2
-        if span < width:
-            least = np.minimum(least[: len(least) - (width - span)], least[width - span :])
-        ends = at[a + 1 : b + 1] - low
-        starts = at[a:b] - low
+        least = run_minima(key, width)
+        low = least & ((np.uint64(1) << bits) - np.uint64(1))
+        whole = run_minima(value, width)
+        for w in np.flatnonzero(value[low.astype(np.int64)] != whole):
+            low[w] = w + int(np.argmin(value[w : w + width]))
+        ends = at[a + 1 : b + 1] - begin
+        starts = at[a:b] - begin
         ok = np.zeros(n + 1, np.int32)
         some = ends - starts >= length
         np.add.at(ok, starts[some], 1)
         np.add.at(ok, ends[some] - length + 1, -1)
-        chosen = least[np.cumsum(ok[: len(least)]) > 0] & ((np.uint64(1) << bits) - np.uint64(1))
+        chosen = low[np.cumsum(ok[: len(low)]) > 0].astype(np.int64)
         chosen = chosen[np.concatenate([[True], chosen[1:] != chosen[:-1]])] if len(chosen) else chosen
-        chosen = chosen.astype(np.int64)
-        places.append(chosen + low)
+        places.append(chosen + begin)
         hashes.append(value[chosen])
     return np.concatenate(places), np.concatenate(hashes)
 
 
+def run_minima(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of each `width` neighbours, by halving steps."""
+    least, span = values, 1
+    while span * 2 <= width:
+        least = np.minimum(least[:-span], least[span:])
+        span *= 2
+    return least if span == width else np.minimum(least[: len(least) - (width - span)], least[width - span :])
+
+
 def words_at(text: np.ndarray) -> np.ndarray:
     """At each position the next eight bytes as one big-endian number; zeros stand past the end."""
     padded = np.concatenate([text, np.zeros(72, np.uint8)])

@@ -13,7 +13,9 @@ at equal distances, so a window can recur in another document only if its anchor
    order of the bytes after the anchor, the order of those before it, and common prefixes in both orders.
 4. The answers return to the shards, which cover the windows and cut the bytes.
 
-Nothing is judged by hash alone: hashes only decide which bytes meet. Work in a shard and at an owner is bounded by the
+Nothing is judged by hash alone: hashes only decide which bytes meet. What is merged across shards are not whole suffix
+arrays but the sorted contexts of recurring anchors: LENGTH bytes from the anchor on and those before it are all of a suffix
+that a LENGTH-byte match can depend on, and a window without a recurring anchor has no match to find. Work in a shard and at an owner is bounded by the
 block size and the number of shards' distinct classes; a string that a third of all documents share costs each shard one
 context.
 
@@ -31,18 +33,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._blocks import blocks, bucket_cuts, by_key, expand, get_keys, grouped, put_keys, squeeze, unpack, with_replies
-from ._common import partitions, settled
+from ._common import mix, partitions, settled
 from ._suffix import anchors, common_prefixes, suffix_array, words_at
 
 LENGTH, GRAM = 50, 24
-KEY_BITS = 48
+KEY_BITS, SALT = 48, np.uint64(0xA0761D6478BD642F)
 BLOCK_BYTES = 4 << 20
 LOWEST = -(1 << 63)
 
 
 def keyed(body: np.ndarray, at: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors and their keys. Anchors have the least hashes of their windows, so these are mixed again to be spread evenly."""
     place, hashed = anchors(body, at, length, gram)
-    return place, hashed >> np.uint64(64 - KEY_BITS)
+    return place, mix(hashed ^ SALT) >> np.uint64(64 - KEY_BITS)
 
 
 def order_ids(ids: list) -> np.ndarray:

@@ -214,3 +214,35 @@ def test_empty_tables(spark):
     empty = frame(spark, [], 1)
     assert exact_dedup.exact_duplicates(empty).count() == 0 and exact_dedup.drop_exact_duplicates(empty).count() == 0
     assert simhash.near_duplicates(empty).count() == 0 and substring_dedup.repeated_spans(empty).count() == 0
+
+
+def test_anchors_are_told_by_whole_hashes(monkeypatch):
+    from quartzlog.llm import _suffix
+    from quartzlog.llm._common import mix
+
+    monkeypatch.setattr(_suffix, "mix", lambda x: mix(x) & np.uint64(0xFFFF))  # all upper bits are equal
+    rng = np.random.default_rng(6)
+    text = rng.integers(97, 123, 1 << 20).astype(np.uint8)
+    place, hashed = _suffix.anchors(text, np.array([0, len(text)]), 50, 24)
+    _, every = _suffix.anchors(text, np.array([0, len(text)]), 24, 24)
+    windows = np.lib.stride_tricks.sliding_window_view(every, 27)
+    assert place.tolist() == np.unique(np.arange(len(windows)) + windows.argmin(1)).tolist() and hashed.tolist() == every[place].tolist()
+    for a in (0, 1000, 400_000):
+        part = text[a : a + 50]
+        alone, _ = _suffix.anchors(part, np.array([0, 50]), 50, 24)
+        assert alone[0] + a in set(place.tolist())
+
+
+def test_keys_of_anchors_are_spread_evenly():
+    text = np.random.default_rng(7).integers(97, 123, 1 << 20).astype(np.uint8)
+    _, key = substring_dedup.keyed(text, np.array([0, len(text)]), 50, 24)
+    held = np.bincount((np.unique(key) >> np.uint64(substring_dedup.KEY_BITS - 6)).astype(np.int64), minlength=64)
+    assert held.max() < 1.2 * held.mean()
+
+
+def test_a_long_text_and_a_short_one_agree(spark, monkeypatch):
+    rng = random.Random(9)
+    long = "".join(rng.choice("abcdefghijkl ") for _ in range(1_200_000))
+    rows = [(1, long), *((k, long[at : at + 50]) for k, at in enumerate(range(3, 1_199_000, 60_007), 2)), (99, long[77:1077])]
+    got = {r["doc_id"]: r for r in substring_dedup.repeated_spans(frame(spark, rows)).collect()}
+    assert all(got[i]["n_removed"] == got[i]["n_bytes"] for i, _ in rows[1:]) and got[1]["n_removed"] == 0
