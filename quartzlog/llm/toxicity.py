@@ -1,15 +1,18 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
-Token weights: in how many toxic and clean training texts each (hashed) token occurs gives a log-odds ratio under
-Dirichlet priors about the token's overall rate; what counts is its lower confidence bound, less a margin, so
-that ordinary tokens score below zero. A linear scan finds all maximal segments of positive total (passages). How high
+Token weights: in how many toxic and clean training texts a (hashed) form occurs gives a log-odds ratio under
+Dirichlet priors about the form's overall rate; what counts is its lower confidence bound, less a margin, so
+that ordinary forms score below zero. A token's forms are the token itself and its first PREFIXES bytes, which stand for
+inflected words that were not seen; the highest weight is the token's. A linear scan finds all maximal segments of positive total (passages). How high
 the best passage of a clean text gets by chance follows an extreme-value law, P(best >= s) = 1 - exp(-K n exp(-lambda s))
-for n tokens; K and lambda are fitted on clean rows that had no part in the weights. A passage is significant if its
-expected number in clean text is below one; a document's score is a logistic function of its log expectation, fitted on
-the same calibration rows.
+for n tokens; K and lambda are fitted on clean rows, each scored by weights that it had no part in. A passage is significant if its
+expected number in clean text is below one. All significant passages of a document are aggregated by the sum statistic of
+that law: how often r passages whose normalised totals come to as much are to be expected, for the r that says most. A
+document's score is a logistic function of the logarithm of that expectation, fitted on the same calibration rows.
 
 Weights, law and logistic function are fitted on at most `bound` labelled rows (TRAIN_ROWS by default, those of lowest
-hashed id); equal texts among them count once. The table has 2**BITS weights whatever the corpus. Scores cover whole texts.
+hashed id); near copies among them count once. Their texts stay on the executors: the driver gets a signature and the
+segment totals of each row and the counts by form. The table has 2**BITS weights whatever the corpus. Scores cover whole texts.
 
 Cases: a null text counts as empty and has no passage; rows with null id or label do not train; without toxic training
 rows no document has a passage; repeated rows are scored each; an empty table gives no rows; other columns are not read.
@@ -22,13 +25,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ._common import PUNCT, crc_mod, pick, raw, slices, training_sample, word_hashes
+from ._common import LOWER, PUNCT, crc_mod, durable, mix, pick, raw, slices, span_hashes, training_sample, word_spans
 
 BITS = 20
 TRAIN_ROWS = 16000
 SLICE = 2 << 20
 THRESHOLD = 0.3
+FOLDS = 3  # parts of the training rows that calibrate in turn
+PREFIXES = (6,)  # bytes
+HASHES = 8
 
 
 @dataclass
@@ -41,9 +48,24 @@ class Model:
 
 
 def tokens(body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the tokens (runs of letters, digits and non-ASCII characters) and the n + 1 offsets of the texts' runs."""
-    hashed, counts = word_hashes(body, at, PUNCT)
-    return (hashed >> np.uint64(64 - BITS)).astype(np.int64), np.concatenate([[0], np.cumsum(counts)])
+    """Buckets (a row a token, a column a form) of the tokens, runs of letters, digits and non-ASCII characters, and the n + 1
+    offsets of the texts' runs. A token no longer than a prefix has itself in that column."""
+    if not len(body):
+        return np.empty((0, 1 + len(PREFIXES)), np.int64), np.zeros(len(at), np.int64)
+    body = LOWER[body]
+    begin, end = word_spans(body, at, PUNCT)
+    own = span_hashes(body, begin, end)
+    forms = [own]
+    for size in PREFIXES:
+        longer = end - begin > size
+        form = own.copy()
+        form[longer] = mix(span_hashes(body, begin[longer], begin[longer] + size) ^ np.uint64(size))
+        forms.append(form)
+    return (np.stack(forms, 1) >> np.uint64(64 - BITS)).astype(np.int64), np.searchsorted(begin, at)
+
+
+def token_weights(weights: np.ndarray, forms: np.ndarray) -> np.ndarray:
+    return weights[forms].max(1).astype(np.float64) if len(forms) else np.empty(0)
 
 
 def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, prior: float = 10.0, z: float = 2.5, margin: float = 0.5) -> np.ndarray:
@@ -67,8 +89,9 @@ def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, p
 def segments(weights: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, float]]:
     """All maximal scoring segments as (text, begin, end, total), over texts laid end to end; positions are the text's own.
 
-    The cumulative sum splits at its new minima into independent stretches, found for all texts at once; only stretches
-    with a positive token are scanned by the linear-time list method.
+    Runs of positive tokens come from left to right. A run joins the stretch back to the last earlier segment that begins at a
+    lower cumulative sum, if that one also ends at a lower sum; otherwise it stands. Each segment remembers that earlier one,
+    and the search goes from there, so that no segment is passed twice and time is linear.
     """
     out = []
     hot = np.flatnonzero(weights > 0)
@@ -79,38 +102,35 @@ def segments(weights: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int,
         text, end = text_of[begin], begin
         while end < len(hot) and text_of[end] == text:
             end += 1
-        found: list[list] = []  # [left sum, right sum, begin, end]
+        found: list[list] = []  # [left sum, right sum, begin, end, the last earlier one with a lower left sum]
         k = begin
         while k < end:
             first = hot[k]
             while k + 1 < end and hot[k + 1] == hot[k] + 1:
                 k += 1
-            item = [sums[first], sums[hot[k] + 1], first, hot[k] + 1]
+            left, right, since, until = sums[first], sums[hot[k] + 1], first, hot[k] + 1
             k += 1
-            while True:  # join to the left as far as a lower left sum with a lower right sum stands there
-                j = len(found) - 1
-                while j >= 0 and found[j][0] >= item[0]:
-                    j -= 1
-                if j < 0 or found[j][1] >= item[1]:
-                    found.append(item)
+            j = len(found) - 1
+            while True:
+                while j >= 0 and found[j][0] >= left:
+                    j = found[j][4]
+                if j < 0 or found[j][1] >= right:
+                    found.append([left, right, since, until, j])
                     break
-                item = [found[j][0], item[1], found[j][2], item[3]]
+                left, since, back = found[j][0], found[j][2], found[j][4]
                 del found[j:]
-        out += [(int(text), int(b - ends[text]), int(e - ends[text]), float(r - l)) for l, r, b, e in found]
+                j = back
+        out += [(int(text), int(b - ends[text]), int(e - ends[text]), float(r - l)) for l, r, b, e, _ in found]
         begin = end
     return out
 
 
-def best(weights: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Each text's highest total of a segment, 0 without one: the largest rise of the cumulative sum."""
-    n = len(ends) - 1
+def best(found: list[tuple], n: int) -> np.ndarray:
+    """Each of n texts' highest total of a segment, 0 without one."""
     out = np.zeros(n)
-    low = min(0.0, float(weights.min(initial=0.0)))
-    hot = np.unique(np.searchsorted(ends, np.flatnonzero(weights > 0), "right") - 1)
-    for t in hot:
-        sums = np.concatenate([[0.0], np.cumsum(weights[ends[t] : ends[t + 1]])])
-        out[t] = (sums - np.minimum.accumulate(sums)).max()
-    return out if low <= 0 else out
+    if found:
+        np.maximum.at(out, [f[0] for f in found], [f[3] for f in found])
+    return out
 
 
 def log_expected(model: Model, top: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -118,6 +138,28 @@ def log_expected(model: Model, top: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.log(model.k) + np.log(np.maximum(n, 1)) - model.lam * top
 
 
+def aggregate(model: Model, found: list[tuple], n: np.ndarray) -> np.ndarray:
+    """Per text of n tokens the logarithm of the expectation of its passages taken together.
+
+    With x = lambda * total - ln(K n) of the r best significant passages summing to T, r passages come to T or more about
+    exp(-T) T**(r - 1) / (r! (r - 1)!) times in clean text. T counts as r * r at least in the power, where the formula would
+    fall short, and each further passage costs a factor of 2, as the best r is chosen. One passage has its own expectation.
+    """
+    out = log_expected(model, best(found, len(n)), n)
+    by: dict[int, list[float]] = {}
+    for text, _, _, total in found:
+        x = -float(log_expected(model, np.array([total]), n[text : text + 1])[0])
+        if x > 0:
+            by.setdefault(text, []).append(x)
+    for text, values in by.items():
+        if len(values) > 1:
+            t = np.cumsum(np.sort(values)[::-1])
+            r = np.arange(1, len(t) + 1)
+            factorial = np.concatenate([[0.0], np.cumsum(np.log(r))])
+            out[text] = (-t + (r - 1) * np.log(2 * np.maximum(t, r * r)) - factorial[r] - factorial[r - 1]).min()
+    return out
+
+
 def law(top: np.ndarray, n: np.ndarray) -> tuple[float, float]:
     """lambda and K by maximum likelihood from clean rows' best totals and lengths.
 
@@ -155,73 +197,106 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(b[0] - b[1] * mean / scale), float(b[1] / scale)
 
 
-def without_near_copies(rows: list[tuple[int, np.ndarray]], hashes: int = 8, agree: int = 5) -> list[tuple[int, np.ndarray]]:
-    """Rows of which no earlier row shares `agree` of the least values of `hashes` hash functions over its tokens: near
-    copies of a toxic text would make its ordinary words look toxic."""
-    factor = np.random.default_rng(7).integers(1, 1 << 31, hashes).astype(np.int64) | 1
-    seen: list[dict[int, list[int]]] = [{} for _ in range(hashes)]
+def signature(forms: np.ndarray) -> list[int]:
+    """The least values of HASHES hash functions over a row's tokens; none without tokens."""
+    factor = np.random.default_rng(7).integers(1, 1 << 31, HASHES).astype(np.int64) | 1
+    return (forms[:, :1].astype(np.int64) * factor % 2147483647).min(0).tolist() if len(forms) else []
+
+
+def without_near_copies(signatures: list[list[int]], agree: int = 5) -> list[int]:
+    """Rows of which no earlier row shares `agree` values of the signature: near copies of a toxic text would make its
+    ordinary words look toxic."""
+    seen: list[dict[int, list[int]]] = [{} for _ in range(HASHES)]
     out = []
-    for k, (y, at) in enumerate(rows):
-        if not len(at):
-            out.append((y, at))
-            continue
-        least = (at.astype(np.int64)[:, None] * factor % 2147483647).min(0).tolist()
+    for k, least in enumerate(signatures):
         votes: dict[int, int] = {}
         for table, value in zip(seen, least):
             for j in table.get(value, ()):
                 votes[j] = votes.get(j, 0) + 1
         if not votes or max(votes.values()) < agree:
-            out.append((y, at))
+            out.append(k)
             for table, value in zip(seen, least):
                 table.setdefault(value, []).append(k)
     return out
 
 
-def fit(rows: list[tuple[int, np.ndarray]]) -> Model:
-    """From (label, token buckets) rows: two of three give the weights, every third the law and the logistic function."""
-    rows = without_near_copies(rows)
-    counts, n = np.zeros((2, 1 << BITS)), [0, 0]
-    for k, (y, at) in enumerate(rows):
-        if k % 3:
-            counts[y][np.unique(at)] += 1
-            n[y] += 1
-    weights = log_odds(counts[1], counts[0], n[1], n[0]).astype(np.float32)
-    rest = rows[::3]
-    ends = np.concatenate([[0], np.cumsum([len(at) for _, at in rest])]).astype(np.int64)
-    top = best(weights[np.concatenate([at for _, at in rest]).astype(np.int64)].astype(np.float64), ends) if rest else np.empty(0)
-    n, y = np.diff(ends), np.array([y for y, _ in rest], int)
+def fold_weights(counts: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Weights from the rows outside each fold, and last from all rows. counts: by fold, label and bucket; sizes: by fold and label."""
+
+    def weights(use: list[int]) -> np.ndarray:
+        clean, toxic = counts[use].sum(0, dtype=np.float64)
+        return log_odds(toxic, clean, *sizes[use].sum(0)[::-1]).astype(np.float32)
+
+    every = list(range(FOLDS))
+    return [weights([g for g in every if g != f]) for f in every] + [weights(every)]
+
+
+def calibrated(weights: np.ndarray, y: np.ndarray, n: np.ndarray, totals: list) -> Model:
+    """The model from each row's label, number of tokens and segments' totals under weights that it had no part in."""
+    found = [(k, 0, 0, t) for k, own in enumerate(totals) for t in own]
+    top = best(found, len(n))
     model = Model(weights, *law(top[y == 0], n[y == 0]), -2.0, -1.0)
     if (y == 1).sum() >= 5 and (y == 0).sum() >= 5:
-        model.bias, model.slope = logistic(log_expected(model, top, n), y)
+        model.bias, model.slope = logistic(aggregate(model, found, n), y)
     return model
 
 
-def score(model: Model, buckets: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Scores in 0..1 and log expectations of texts."""
-    top = best(model.weights[buckets].astype(np.float64), ends)
-    value = log_expected(model, top, np.diff(ends))
-    out = 1 / (1 + np.exp(-np.clip(model.bias + model.slope * value, -35, 35)))
-    return np.where(top > 0, out, np.minimum(out, 0.01)), value
+def score(model: Model, buckets: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
+    """Scores in 0..1 of texts, and their segments."""
+    found, n = segments(token_weights(model.weights, buckets), ends), np.diff(ends)
+    out = 1 / (1 + np.exp(-np.clip(model.bias + model.slope * aggregate(model, found, n), -35, 35)))
+    return np.where(best(found, len(n)) > 0, out, np.minimum(out, 0.01)), found
 
 
-def _train_rows(batches):
+def _sample_rows(batches):
     for batch in batches:
         body, at = raw(batch.column("text"))
         found = []
         for a, b in slices(at, SLICE):
-            buckets, ends = tokens(body[at[a] : at[b]], at[a : b + 1] - at[a])
-            found += [buckets[ends[k] : ends[k + 1]].astype("<u4").tobytes() for k in range(b - a)]
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "label": batch.column("label"), "tokens": pa.array(found, pa.binary())})
+            forms, ends = tokens(body[at[a] : at[b]], at[a : b + 1] - at[a])
+            found += [forms[ends[k] : ends[k + 1]] for k in range(b - a)]
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "label": batch.column("label"), "signature": pa.array([signature(x) for x in found], pa.list_(pa.int64())), "forms": pa.array([x.astype("<u4").tobytes() for x in found], pa.binary())})
+
+
+def _forms(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u4").reshape(-1, 1 + len(PREFIXES)).astype(np.int64) for x in batch.column("forms").to_pylist()]
+
+
+def _count(batches):
+    """Rows (key, n): in how many texts a bucket occurs; key holds fold, label and bucket."""
+    for batch in batches:
+        keys = [np.unique(x) + ((f * 2 + y) << BITS) for x, f, y in zip(_forms(batch), batch.column("fold").to_pylist(), batch.column("label").to_pylist())]
+        key, n = np.unique(np.concatenate([*keys, np.empty(0, np.int64)]), return_counts=True)
+        yield pa.RecordBatch.from_pydict({"key": pa.array(key, pa.int64()), "n": pa.array(n, pa.int64())})
+
+
+def _totals(shared):
+    def run(batches):
+        for batch in batches:
+            forms = _forms(batch)
+            totals = [[f[3] for f in segments(token_weights(shared.value[fold], x), np.array([0, len(x)]))] for x, fold in zip(forms, batch.column("fold").to_pylist())]
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "label": batch.column("label"), "n": pa.array([len(x) for x in forms], pa.int64()), "totals": pa.array(totals, pa.list_(pa.float64()))})
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4, left_out: int = 2, bound: int = TRAIN_ROWS) -> Model:
-    """The model, fitted on the driver on at most `bound` labelled rows."""
-    sample = training_sample(pick(docs), labels, label, modulus, left_out, bound)
-    got = sample.mapInArrow(_train_rows, "doc_id long, label int, tokens binary").toArrow().sort_by("doc_id")
-    distinct = {}
-    for y, x in zip(got["label"].to_pylist(), got["tokens"].to_pylist()):
-        distinct.setdefault(x, y)
-    return fit([(y, np.frombuffer(x, "<u4")) for x, y in distinct.items()])
+    """The model, fitted on at most `bound` labelled rows. Every third row in turn is scored by weights from the others, which
+    calibrates the law and the logistic function; the weights kept come from all rows."""
+    spark = docs.sparkSession
+    sample = durable(training_sample(pick(docs), labels, label, modulus, left_out, bound).mapInArrow(_sample_rows, "doc_id long, label int, signature array<long>, forms binary"))
+    heads = sample.select("doc_id", "label", "signature").toArrow().sort_by("doc_id")
+    kept = without_near_copies(heads["signature"].to_pylist())
+    ids, y = heads["doc_id"].to_pylist(), heads["label"].to_pylist()
+    folds = spark.createDataFrame([(ids[k], at % FOLDS) for at, k in enumerate(kept)], "doc_id long, fold int")  # at most `bound` rows
+    rows = sample.drop("signature").join(F.broadcast(folds), "doc_id")
+    counts, sizes = np.zeros(FOLDS * 2 << BITS, np.float32), np.zeros((FOLDS, 2))
+    got = rows.mapInArrow(_count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    counts[got["key"].to_numpy()] = got["n"].to_numpy()
+    np.add.at(sizes, (np.arange(len(kept)) % FOLDS, [y[k] for k in kept]), 1)
+    weights = fold_weights(counts.reshape(FOLDS, 2, -1), sizes)
+    found = rows.mapInArrow(_totals(spark.sparkContext.broadcast(weights[:FOLDS])), "doc_id long, label int, n long, totals array<double>").toArrow().sort_by("doc_id")
+    return calibrated(weights[FOLDS], found["label"].to_numpy(), found["n"].to_numpy(), found["totals"].to_pylist())
 
 
 def _scored(docs: DataFrame, model: Model, modulus: int, left_out: int, threshold: float, id_col: str, text_col: str, spans: bool) -> DataFrame:
@@ -234,11 +309,12 @@ def _scored(docs: DataFrame, model: Model, modulus: int, left_out: int, threshol
             scores, passages = [np.empty(0)], []
             for a, b in slices(at, SLICE):
                 buckets, ends = tokens(body[at[a] : at[b]], at[a : b + 1] - at[a])
-                scores.append(score(model, buckets, ends)[0])
+                own_scores, found = score(model, buckets, ends)
+                scores.append(own_scores)
                 if spans:
                     own = [[] for _ in range(b - a)]
                     n = np.diff(ends)
-                    for t, begin, end, total in segments(model.weights[buckets].astype(np.float64), ends):
+                    for t, begin, end, total in found:
                         value = float(log_expected(model, np.array([total]), n[t : t + 1])[0])
                         if value < 0:
                             own[t].append({"first_token": begin, "end_token": end, "total": total, "log_expected": value})
