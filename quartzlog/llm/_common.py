@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 R = np.uint64(0x9E3779B97F4A7C15 | 5)
 R_INV = np.uint64(pow(int(R), -1, 1 << 64))
+KEYS = np.array([0x2D358DCCAA6C78A5, 0x8BB84B93962EACC9, 0x4B33A62ED433D4A3, 0x4D5A2DA51DE1AA47], np.uint64)
+SEED = 0x5AFE
 _powers = {}
 
 
@@ -102,8 +105,26 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def span_hashes(body: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of substrings, each of its own bytes alone. Up to 16 bytes are two numbers, mixed; longer ones take
+    XXH3 with a seed."""
+    size = end - begin
+    if not len(size):
+        return np.empty(0, np.uint64)
+    shown = np.lib.stride_tricks.sliding_window_view(np.concatenate([body, np.zeros(16, np.uint8)]), 16)[begin]
+    shown = (shown * (np.arange(16) < size[:, None])).view("<u8")
+    with np.errstate(over="ignore"):
+        out = mix(mix(mix(shown[:, 0] + KEYS[0]) ^ (shown[:, 1] * KEYS[1] + KEYS[2])) + size.astype(np.uint64) * KEYS[3])
+    far = np.flatnonzero(size > 16)
+    if len(far):
+        data = memoryview(np.ascontiguousarray(body))
+        out[far] = [xxhash.xxh3_64_intdigest(data[a:b], SEED) for a, b in zip(begin[far].tolist(), end[far].tolist())]
+    return out
+
+
 def prefix_hash(body: np.ndarray) -> np.ndarray:
-    """n + 1 prefix sums of (byte + 1) * R**i: the hash of any substring follows from two of them."""
+    """n + 1 prefix sums of (byte + 1) * R**i: a hash of any substring follows from two of them. Equal substrings have equal
+    hashes; long patterned ones may collide, so these only decide which bytes are compared."""
     up, _ = powers(max(1, len(body)))
     out = np.zeros(len(body) + 1, np.uint64)
     with np.errstate(over="ignore"):
@@ -130,11 +151,7 @@ def word_hashes(body: np.ndarray, at: np.ndarray, gap: np.ndarray = SPACE) -> tu
         return np.empty(0, np.uint64), np.zeros(len(at) - 1, np.int64)
     body = LOWER[body]
     begin, end = word_spans(body, at, gap)
-    sums = prefix_hash(body)
-    _, down = powers(len(body))
-    with np.errstate(over="ignore"):
-        hashed = mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
-    return hashed, np.diff(np.searchsorted(begin, at))
+    return span_hashes(body, begin, end), np.diff(np.searchsorted(begin, at))
 
 
 def crc_mod(ids: pa.Array, modulus: int) -> np.ndarray:

@@ -5,8 +5,9 @@ weights depend on the bucket (power of two) of the context's frequency c(h) and
 on held-out counts: one fold of the training documents (HELD_OUT) is deleted from the counts, and the weights maximise
 the likelihood of that fold under the counts of the others. The final scores use the counts of all training documents.
 
-Counts cover every training document and are exact (64-bit hashes of words, 48-bit hashes of word pairs); they are
-merged by the exchange of `_blocks`, so no vocabulary is ever in one place. The held-out fold's tokens reach the driver
+Counts cover every training document. Words are told apart by 64 bits: of their bytes up to 16, mixed, or a seeded XXH3.
+Pairs are told apart by 48 bits: of m distinct pairs about a share m / 2**48 has the key of another one and counts with it
+(4e-7 for 10**8 pairs, 4e-3 for 10**12); only the pairs' estimates see that, n_known and base_score do not. Counts are merged by the exchange of `_blocks`, so no vocabulary is ever in one place. The held-out fold's tokens reach the driver
 only as a histogram over (context bucket, log-ratio of the estimates), whose size does not depend on the corpus.
 
 Cases: a null text counts as empty and is one end token; a null id counts as the empty text in folds; without training

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._common import LOWER, crc_mod, mix, pick, powers, prefix_hash, raw, slices, training_sample, word_spans
+from ._common import LOWER, crc_mod, mix, pick, raw, slices, span_hashes, training_sample, word_spans
 
 BITS = 20
 TRAIN_ROWS = 8000
@@ -43,10 +43,8 @@ def features(body: np.ndarray, at: np.ndarray, bits: int = BITS) -> list[tuple[n
         return [(np.empty(0, np.int64), np.zeros(n + 1, np.int64))] * 5
     begin, end = word_spans(body, at)
     folded = LOWER[body]
-    sums, (_, down) = prefix_hash(folded), powers(len(body))
     size = end - begin
-    with np.errstate(over="ignore"):
-        word = mix((sums[end] - sums[begin]) * down[begin] + size.astype(np.uint64))
+    word = span_hashes(folded, begin, end)
     first = np.searchsorted(begin, at)
     same = np.zeros(len(word), bool)
     same[1:] = word[1:] == word[:-1]

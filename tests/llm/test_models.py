@@ -1,3 +1,4 @@
+import collections
 import math
 import random
 import re
@@ -166,7 +167,7 @@ def test_segments_are_the_maximal_ones():
     ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     flat = np.concatenate(texts)
     got = toxicity.segments(flat, ends)
-    best = toxicity.best(flat, ends)
+    best = toxicity.best(got, len(texts))
     for k, t in enumerate(texts):
         want = brute_segments(t.tolist())
         assert sorted((a, b, round(s, 6)) for d, a, b, s in got if d == k) == sorted((a, b, round(s, 6)) for a, b, s in want)
@@ -196,3 +197,115 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.score_documents(docs, quality.train(docs, labels)).count() == 0
     assert toxicity.score_documents(docs, toxicity.train(docs, labels)).count() == 0
+
+
+def test_segments_take_linear_time():
+    import time
+
+    def seconds(n):
+        flat, best = np.tile([1.0, -2.0], n), []
+        for _ in range(3):
+            start = time.perf_counter()
+            assert len(toxicity.segments(flat, np.array([0, 2 * n]))) == n
+            best.append(time.perf_counter() - start)
+        return min(best)
+
+    assert seconds(64000) < 4 * 2 * seconds(16000)  # a square would be 16-fold
+
+
+def test_passages_add_up():
+    model = toxicity.Model(np.zeros(1), 1.0, 0.01, 0.0, -1.0)
+    n = np.array([100] * 5)
+    found = [(1, 0, 1, 3.0), (2, 0, 1, 3.0), (2, 5, 6, 3.0), (2, 8, 9, 3.0), (3, 0, 1, 0.1), (3, 4, 5, 0.1), (4, 0, 1, 9.0)]
+    got = toxicity.aggregate(model, found, n)
+
+    def want(totals):
+        xs = sorted((t - math.log(0.01 * 100) for t in totals if t - math.log(0.01 * 100) > 0), reverse=True)
+        best = math.log(0.01 * 100) - max(totals, default=0.0)
+        for r in range(2, len(xs) + 1):
+            t = sum(xs[:r])
+            best = min(best, -t + (r - 1) * math.log(max(t, r * r)) - math.log(math.factorial(r) * math.factorial(r - 1)) + (r - 1) * math.log(2))
+        return best
+
+    assert got.tolist() == pytest.approx([want([f[3] for f in found if f[0] == k]) for k in range(5)])
+    assert got[2] < got[1] < got[0] and got[3] == pytest.approx(-0.1)  # three passages tell more than one; two slight ones do not
+
+
+def test_toxicity_against_plain_counts(spark):
+    bad = ["vile%d" % k for k in range(6)]
+    docs, labels, truth = labelled(spark, lambda i: (text(30, rng.sample(bad, 2)), 1) if i % 6 == 0 else (text(30), 0), 700)
+    model = toxicity.train(docs, labels)
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    bucket = lambda w: toxicity.tokens(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())]))[0][0].tolist()
+    words = {i: [bucket(w) for w in re.findall(r"[a-z0-9\x80-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in t or ""))] for i, t in rows.items()}
+    train = sorted(i for i in truth if mod(i, 4) != 2 and i in rows)
+    kept = [train[k] for k in toxicity.without_near_copies([toxicity.signature(np.array(words[i]).reshape(-1, 1 + len(toxicity.PREFIXES))) for i in train])]
+    toxic_of = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    df = [collections.Counter(), collections.Counter()]
+    size = [0, 0]
+    for i in kept:
+        size[toxic_of[i]] += 1
+        df[toxic_of[i]].update({b for forms in words[i] for b in forms})
+
+    def weight(b):
+        t, c = df[1][b], df[0][b]
+        if not t + c:
+            return -0.5
+        rate = (t + c) / sum(size)
+        a, z = 0.5 + 10 * rate, 0.5 + 10 * (1 - rate)
+        delta = math.log((t + a) / (size[1] - t + z)) - math.log((c + a) / (size[0] - c + z))
+        return (max(0.0, delta - 2.5 * math.sqrt(1 / (t + a) + 1 / (c + a))) if delta > 0 else max(delta, -4.0)) - 0.5
+
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, model).collect()}
+    for i in list(words)[:150]:
+        line = [max(map(weight, forms)) for forms in words[i]]
+        found = [(0, a, b, s) for a, b, s in brute_segments(line)]
+        value = float(toxicity.aggregate(model, found, np.array([len(line)]))[0])
+        want = 1 / (1 + math.exp(-max(-35, min(35, model.bias + model.slope * value))))
+        assert got[i] == pytest.approx(want if found else min(want, 0.01), abs=2e-3), i
+
+
+def test_quality_scores_against_plain_features(spark):
+    from quartzlog.llm._common import mix, span_hashes
+
+    weights = np.random.default_rng(2).normal(0, 0.5, (1 << quality.BITS) + 1).astype(np.float32)
+    texts = ["", None, "One two two THREE! a1 9", "x", " lead  trail ", "É é 12 12 12", "w" * 40 + " W" + "w" * 39, "A b\tC\nd e-f"]
+    whole = (1 << 64) - 1
+    spread = lambda x: int(mix(np.array([x & whole], np.uint64))[0])
+
+    def plain(t):
+        raw_words = [w for w in re.split(rb"[\x20\x09-\x0d]+", (t or "").encode()) if w]
+        hashes, shapes = [], []
+        for k, w in enumerate(raw_words):
+            low = w.lower()
+            hashes.append(int(span_hashes(np.frombuffer(low, np.uint8), np.array([0]), np.array([len(low)]))[0]))
+            up, lo, di, hi = (sum(f(c) for c in w) for f in (lambda c: 65 <= c < 91, lambda c: 97 <= c < 123, lambda c: 48 <= c < 58, lambda c: c >= 128))
+            shape = min(up, 2) + (up == len(w))
+            for x in (min(lo, 1) + (lo == len(w)), min(di, 1) + (di == len(w)), min(len(w) - up - lo - di - hi, 3), int(k > 0 and hashes[k] == hashes[k - 1])):
+                shape = shape * 4 + x
+            shapes.append(spread(shape + 99))
+        total = float(weights[-1])
+        for stream, orders, salt in ((hashes, 2, 1), (shapes, 3, 11)):
+            grams = stream
+            for order in range(1, orders + 1):
+                if order > 1:
+                    grams = [spread(g * 0x9E3779B97F4A7C15 + x) for g, x in zip(grams, stream[order - 1 :])]
+                if grams:
+                    total += quality.SCALE * sum(float(weights[spread(g + salt + order) & (1 << quality.BITS) - 1]) for g in grams) / len(grams)
+        return 1 / (1 + math.exp(-total))
+
+    docs = docs_frame(spark, list(enumerate(texts)))
+    got = {r["doc_id"]: r["score"] for r in quality.score_documents(docs, weights).collect()}
+    assert all(got[k] == pytest.approx(plain(t), rel=1e-5) for k, t in enumerate(texts))
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join(b if bin(k).count("1") % 2 else a for k in range(n))
+
+
+def test_patterned_words_are_told_apart(spark):
+    one, other = thue_morse(2048), thue_morse(2048, "b", "a")
+    train, held = next(i for i in range(99) if mod(i, 7) != 2), next(i for i in range(99) if mod(i, 7) == 2)
+    got = {r["doc_id"]: r for r in lm.score_documents(docs_frame(spark, [(train, one), (held, other)])).collect()}
+    assert (got[train]["n_known"], got[held]["n_known"], got[held]["n_tokens"]) == (2, 1, 2)
+    assert got[held]["base_score"] == pytest.approx(math.log10(1 / 5) + math.log10(2 / 5))

@@ -165,6 +165,34 @@ def test_mixing(spark, options):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixing_against_plain_arithmetic(spark):
+    rows = [(k, "w " * rng.choice([1, 3, 40]), rng.choices("abc", [70, 25, 5])[0]) for k in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    held = collections.Counter()
+    for _, t, s in rows:
+        held[s] += len(t.split())
+    share = {s: n / sum(held.values()) for s, n in held.items()}
+    low, high = 0.0, 1.0  # the flattest mixture that repeats no source over twice as often as another
+    for _ in range(60):
+        a = (low + high) / 2
+        raised = {s: p**a for s, p in share.items()}
+        repeats = [raised[s] / share[s] for s in share]
+        low, high = (low, a) if max(repeats) <= 2 * min(repeats) else (a, high)
+    weight = {s: p**high / sum(q**high for q in share.values()) for s, p in share.items()}
+    budget = max(held[s] / weight[s] for s in held)
+    drawn, times = collections.Counter(), collections.Counter()
+    got = mixing.mix(docs).collect()
+    for r in got:
+        drawn[r["source"]] += len(r["text"].split())
+        times[r["doc_id"]] += 1
+    assert all(abs(drawn[s] - weight[s] * budget) <= 41 for s in held) and all(r["mix_weight"] == pytest.approx(weight[r["source"]], rel=1e-6) for r in got)
+    assert set(times) == {i for i, _, _ in rows} and set(times.values()) <= {1, 2}
+    blocks = collections.defaultdict(list)  # an epoch's order takes its blocks one by one, each in one order
+    for r in sorted((r for r in got if r["source"] == "a" and r["mix_epoch"] == 0), key=lambda r: (r["mix_block_order"], r["mix_order"])):
+        blocks[r["mix_block_order"]].append(r["doc_id"])
+    assert len(blocks) > 200 and [i for own in blocks.values() for i in own] != sorted(i for own in blocks.values() for i in own)
+
+
 CONVERSATIONS = [
     (1, 1, "user", "hi"), (1, 2, "assistant", "a <|im_end|> b"), (1, 3, "user", "\\<|im_start|>\\"), (1, 4, "assistant", "[INST] x [/INST] </s>\\"), (1, 5, "user", "bye"),
     (2, 1, "system", None), (2, 2, "assistant", None), (3, 1, "user", ""), (4, None, "assistant", "<"), (4, 1, "as<|im_sep|>sistant", "<<SYS>>\n\n"), (None, 1, "assistant", "é😀"), (5, 1, None, "n"),
