@@ -26,17 +26,27 @@ R = np.uint64(0x9E3779B97F4A7C15 | 5)
 R_INV = np.uint64(pow(int(R), -1, 1 << 64))
 KEYS = np.array([0x2D358DCCAA6C78A5, 0x8BB84B93962EACC9, 0x4B33A62ED433D4A3, 0x4D5A2DA51DE1AA47], np.uint64)
 SEED = 0x5AFE
+HOT = 1000
 _powers = {}
 
 
 def durable_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder for cut lineage; a temporary folder only where none is configured."""
+    """The cluster's shared folder for cut lineage; a temporary folder only where none is configured and all is one process."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints-"))
     return sc.getCheckpointDir()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that the session knows."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Checkpoint df (eagerly) in the shared folder."""
     durable_dir(df.sparkSession)
@@ -53,6 +63,24 @@ def settled(df: DataFrame) -> DataFrame:
     return out
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """rows joined with their group's row. groups has distinct keys and `rows`, how many of the `total` rows a group has.
+
+    At most HOT groups can have over total / HOT rows; theirs are joined by a broadcast, in place. All others are small
+    enough for one task each. The column `rows` goes.
+    """
+    least = max(HOT, total // HOT)
+    large = F.broadcast(groups.where(F.col("rows") > least).drop("rows"))
+    rest = rows.join(large.select(*keys), keys, "left_anti").join(groups.where(F.col("rows") <= least).drop("rows"), keys)
+    return rows.join(large, keys).unionByName(rest)
+
+
+def renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with columns c0, c1, ..., which clash with no helper column, and the new name of each."""
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import durable, give_back, partitions, pick, raw
+from ._common import durable, give_back, join_groups, partitions, pick, raw, renamed
 
 BLOCK_BYTES = 4096
 CUT = "rid long, doc_id long, sha binary, n_blocks int, pos int, batch long, lid int, route long, block binary"
@@ -92,8 +92,10 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     while most > 1:
         even = F.col("pos") % 2 == 0
         pairs = rest.groupBy("rid", F.floor(F.col("pos") / 2).cast("int").alias("pos")).agg(F.max(F.when(even, F.col("name"))).alias("a"), F.coalesce(F.max(F.when(~even, F.col("name"))), F.lit(-1)).alias("b"))
-        numbers = pairs.select("a", "b").distinct().repartition(n, "a", "b").sortWithinPartitions("a", "b").withColumn("name", F.monotonically_increasing_id())
-        rest = durable(pairs.join(numbers, ["a", "b"]).select("rid", "pos", "name"))
+        pairs = durable(pairs)
+        numbers = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("rows")).repartition(n, "a", "b").sortWithinPartitions("a", "b")
+        numbers = durable(numbers.withColumn("name", F.monotonically_increasing_id()))
+        rest = durable(join_groups(pairs, numbers, ["a", "b"], pairs.count()).select("rid", "pos", "name"))
         most = -(-most // 2)
     heads = places.where("pos = 0").select("rid", "doc_id", "n_blocks", F.lower(F.hex("sha")).alias("text_sha256"))
     return heads.join(done.unionByName(rest.select("rid", "name")), "rid")
@@ -104,15 +106,16 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = durable(identities(docs, id_col, text_col, block_bytes))
     best = F.max(F.struct(F.col("doc_id").isNotNull(), F.col("doc_id"), -F.col("rid"))).alias("best")
     groups = rows.groupBy("n_blocks", "name").agg(best, F.count(F.lit(1)).alias("group_size"))
-    groups = groups.select("n_blocks", "name", "group_size", F.col("best.doc_id").alias("keep_id"), (-F.col("best.col3")).alias("keep_rid"))
-    return rows.join(groups, ["n_blocks", "name"]).select("doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "text_sha256")
+    groups = groups.select("n_blocks", "name", "group_size", F.col("group_size").alias("rows"), F.col("best.doc_id").alias("keep_id"), (-F.col("best.col3")).alias("keep_rid"))
+    return join_groups(rows, groups, ["n_blocks", "name"], rows.count()).select("doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "text_sha256")
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns."""
     kept = exact_duplicates(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha"))
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    sha = F.sha2(F.translate(F.coalesce(F.col(text_col), F.lit("")), upper, upper.lower()), 256)
-    keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__sha": sha})
+    plain, names = renamed(docs)
+    sha = F.sha2(F.translate(F.coalesce(F.col(names[text_col]), F.lit("")), upper, upper.lower()), 256)
+    keyed = plain.withColumns({"__id": F.col(names[id_col]).cast("long"), "__sha": sha})
     joined = keyed.join(kept, F.col("__id").eqNullSafe(F.col("__kept_id")) & (F.col("__sha") == F.col("__kept_sha")), "left_semi")
-    return joined.dropDuplicates(["__id", "__sha"]).drop("__id", "__sha")
+    return joined.dropDuplicates(["__id", "__sha"]).drop("__id", "__sha").toDF(*docs.columns)

@@ -22,9 +22,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import durable
+from ._common import durable, renamed
 
 BLOCKS = 256
+STEP = 12  # bits of a hash by which the cut inside a block is first found
 MAX_REPEATS = 2.0
 SEED = 20240229
 #: Plans (a row per source) up to this many rows are broadcast; larger ones join by shuffle.
@@ -84,12 +85,25 @@ def _block_order(seed: int, epoch: Column, source: Column, block: Column) -> Col
     return F.xxhash64(F.lit(seed), epoch.cast("long"), source, block.cast("long"))
 
 
+def _cut(inside: DataFrame, up_to) -> DataFrame:
+    """(s, cut): the largest hash so that a source's documents up to it hold at most `left` tokens. First by the hashes'
+    leading bits, then inside the piece where the tokens pass `left`; so no task sorts more than 2**STEP pieces a source, or
+    a 2**STEP-th of its rows."""
+    pieces = inside.groupBy("s", "left", F.shiftright("o", 64 - STEP).alias("piece")).agg(F.sum("n").alias("n")).withColumn("sum", F.sum("n").over(up_to(["s"], "piece")))
+    edge = pieces.where("sum > left").groupBy("s").agg(F.min_by(F.struct("piece", (F.col("left") - F.col("sum") + F.col("n")).alias("rest")), "piece").alias("e")).select("s", "e.piece", "e.rest")
+    fine = inside.drop("left").join(F.broadcast(edge) if edge.count() <= PLAN_ROWS else edge, "s").where(F.shiftright("o", 64 - STEP) == F.col("piece"))
+    fine = fine.groupBy("s", "rest", "o").agg(F.sum("n").alias("n")).withColumn("sum", F.sum("n").over(up_to(["s"], "o"))).where("sum <= rest").groupBy("s").agg(F.max("o").alias("o"))
+    return edge.join(fine, "s", "left").select("s", F.coalesce("o", F.shiftleft("piece", 64 - STEP) - 1).alias("cut"))
+
+
 def mix(docs: DataFrame, budget: float | None = None, target_entropy: float | None = None, max_repeats: float = MAX_REPEATS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The drawn rows with all their columns, and mix_tokens, mix_weight, mix_epoch, mix_block_order, mix_order.
 
     Reading an epoch by (mix_block_order, mix_order) gives its permutation.
     """
-    spark = docs.sparkSession
+    spark, given = docs.sparkSession, docs.columns
+    docs, names = renamed(docs)
+    id_col, text_col, source_col = (names[c] for c in (id_col, text_col, source_col))
     source = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n"))
     order = F.xxhash64(F.lit(seed + 1), F.col(id_col).cast("long"))
     block = F.pmod(F.xxhash64(F.lit(seed + 2), F.col(id_col).cast("long")), F.lit(BLOCKS))
@@ -105,7 +119,7 @@ def mix(docs: DataFrame, budget: float | None = None, target_entropy: float | No
     edge = ranked.where("sum > rest").groupBy("s").agg(F.min_by(F.struct(F.col("p").alias("edge"), (F.col("rest") - F.col("sum") + F.col("n")).alias("left")), "p").alias("e")).select("s", "e.edge", "e.left")
     plans = durable(plans.join(edge, "s", "left"))
     inside = narrow.join(hint(plans), "s").where(_block_order(seed, F.col("full"), F.col("s"), F.col("b")) == F.col("edge"))
-    cut = inside.groupBy("s", "left", "o").agg(F.sum("n").alias("n")).withColumn("sum", F.sum("n").over(up_to(["s"], "o"))).where("sum <= left").groupBy("s").agg(F.max("o").alias("cut"))
+    cut = _cut(durable(inside.select("s", "left", "o", "n")), up_to)
     final = durable(plans.join(cut, "s", "left").select(F.col("s").alias("__s"), F.col("weight").alias("mix_weight"), F.col("full").alias("__full"), F.col("rest").alias("__rest"), F.col("edge").alias("__edge"), F.col("cut").alias("__cut")))
     rows = docs.withColumns({"__source": source, "__block": block, "mix_order": order, "mix_tokens": token_count(F.col(text_col))}).join(hint(final), F.col("__source") == F.col("__s"))
     last = _block_order(seed, F.col("__full"), F.col("__source"), F.col("__block"))
@@ -113,4 +127,5 @@ def mix(docs: DataFrame, budget: float | None = None, target_entropy: float | No
     copies = F.col("__full") + F.when(partial, 1).otherwise(0)
     rows = rows.withColumn("mix_epoch", F.explode(F.when(copies > 0, F.sequence(F.lit(0).cast("long"), copies - 1)).otherwise(F.array().cast("array<long>"))))
     rows = rows.withColumn("mix_block_order", _block_order(seed, F.col("mix_epoch"), F.col("__source"), F.col("__block")))
-    return rows.drop("__source", "__block", "__s", "__full", "__rest", "__edge", "__cut")
+    own = ("mix_tokens", "mix_weight", "mix_epoch", "mix_block_order", "mix_order")
+    return rows.select(*(F.col(names[c]).alias(c) for c in given if c not in own), *own)

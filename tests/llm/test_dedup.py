@@ -143,32 +143,71 @@ def test_drop_near_duplicates(spark, corpus):
     assert all(i in ids for i in range(200, 230)) and kept.columns[:2] == ["doc_id", "text"]
 
 
-def test_pipeline_near_copies_against_all_pairs(spark):
+def shingle_sets(texts, k=5):
+    out = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        out.append({b" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set())
+    return out
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def set_prints(texts, words=3):
+    return [simhash.majorities(np.unique(simhash.shingles((t or "").encode(), 5)), words) for t in texts]
+
+
+def candidates(a, b, distance, reach):
+    parts = [(w, s, (1 << n) - 1) for w in range(len(a)) for s, n in simhash.layout(3)]
+    return sum((x ^ y).bit_count() for x, y in zip(a, b)) <= distance and any(((a[w] ^ b[w]) >> s & m).bit_count() <= reach for w, s, m in parts)
+
+
+def edited(rng, words, changes):
+    own = list(words)
+    for at in rng.sample(range(len(own)), changes):
+        own[at] = random_text(rng, 1) + "z"
+    return " ".join(own)
+
+
+@pytest.mark.parametrize("wide,tries", [(64, 4), (2, 1)])
+def test_pipeline_near_copies_against_all_pairs(spark, monkeypatch, wide, tries):
     import corpus_pipeline
 
+    monkeypatch.setattr(simhash, "WIDE", wide)
+    monkeypatch.setattr(simhash, "TRIES", tries)
+    monkeypatch.setattr(simhash, "HELD", 50)
     rng = random.Random(11)
-    rows = []
-    for k in range(60):
+    texts = []
+    for _ in range(40):
         near = random_text(rng, 300).split()
-        for _ in range(5):
-            own = list(near)
-            for at in rng.sample(range(300), rng.choice([2, 5, 8, 11])):
-                own[at] = random_text(rng, 1) + "z"
-            rows.append((len(rows), " ".join(own)))
-    rows += [(1000, ""), (1001, " "), (1002, "a b"), (1003, "A  b"), (1004, "a c")]
-    grams = []
-    for _, t in rows:
-        w = t.lower().split()
-        grams.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
-    prints = [simhash.fingerprint(t.encode(), 5, 42, 3) for _, t in rows]
-
-    def linked(a, b):
-        either = len(grams[a] | grams[b])
-        return sum((x ^ y).bit_count() for x, y in zip(prints[a], prints[b])) <= 34 and (not either or len(grams[a] & grams[b]) / either >= 0.8)
-
-    find = union(range(len(rows)), [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if linked(a, b)])
-    got = simhash.drop_near_duplicates(frame(spark, rows), **corpus_pipeline.NEAR).collect()
-    assert sorted(r["doc_id"] for r in got) == [i for k, (i, _) in enumerate(rows) if find(k) == k]
+        texts += [edited(rng, near, rng.choice([2, 5, 8, 11])) for _ in range(5)]
+    star = random_text(rng, 300).split()  # one large group: members are alike through the first one only
+    texts += [" ".join(star)] + [edited(rng, star, 6) for _ in range(60)]
+    texts += [edited(rng, star, 14) for _ in range(20)]  # and some that are candidates but not similar
+    texts += ["", " ", "a b", "A  b", "a c", "x " * 50, "x " * 60, "X " * 70]
+    sets, prints = shingle_sets(texts), set_prints(texts)
+    near, options = corpus_pipeline.NEAR, range(len(texts))
+    find = union(options, [(a, b) for a in options for b in range(a + 1, len(texts)) if candidates(prints[a], prints[b], near["distance"], near["reach"]) and similarity(sets[a], sets[b]) >= near["jaccard"]])
+    got = simhash.drop_near_duplicates(frame(spark, list(enumerate(texts))), **near).collect()
+    assert sorted(r["doc_id"] for r in got) == [k for k in options if find(k) == k]
+
+
+def test_candidates_of_similar_texts_are_found():
+    import corpus_pipeline
+
+    rng, near = random.Random(4), corpus_pipeline.NEAR
+    found = {}
+    while min((len(x) for x in found.values()), default=0) < 150 or len(found) < 4:
+        words = random_text(rng, rng.choice([60, 150, 400])).split()
+        a, b = " ".join(words), edited(rng, words, rng.randint(1, max(1, len(words) // 40)))
+        x, y = shingle_sets([a, b])
+        j = similarity(x, y)
+        if j >= 0.8:
+            found.setdefault(int(j * 20), []).append(candidates(*set_prints([a, b]), near["distance"], near["reach"]))
+    share = {k / 20: sum(x) / len(x) for k, x in sorted(found.items()) if k < 20}
+    assert share[0.8] >= 0.96 and share[0.85] >= 0.99 and share[0.9] >= 0.99 and share[0.95] >= 0.99, share
 
 
 @pytest.mark.parametrize("jaccard", [None, 0.8])
@@ -176,7 +215,7 @@ def test_drop_near_duplicates_of_repeated_ids(spark, jaccard):
     rng = random.Random(2)
     near, clean, twin = (random_text(rng, 300) for _ in range(3))
     rows = [(1, near), (2, near + " more"), (2, clean), (3, twin), (3, twin + " more"), (4, twin + " most")]
-    got = simhash.drop_near_duplicates(frame(spark, rows), shingle=5, words=3, distance=34, jaccard=jaccard).collect()
+    got = simhash.drop_near_duplicates(frame(spark, rows), shingle=5, words=3, distance=42, reach=2, jaccard=jaccard).collect()
     kept = sorted((r["doc_id"], r["text"]) for r in got)
     assert kept[0] == (1, near) and kept[1] == (2, clean) and [i for i, _ in kept] == [1, 2, 3]
 
@@ -246,3 +285,13 @@ def test_a_long_text_and_a_short_one_agree(spark, monkeypatch):
     rows = [(1, long), *((k, long[at : at + 50]) for k, at in enumerate(range(3, 1_199_000, 60_007), 2)), (99, long[77:1077])]
     got = {r["doc_id"]: r for r in substring_dedup.repeated_spans(frame(spark, rows)).collect()}
     assert all(got[i]["n_removed"] == got[i]["n_bytes"] for i, _ in rows[1:]) and got[1]["n_removed"] == 0
+
+
+def test_groups_are_joined_whole_whatever_their_size(spark, monkeypatch):
+    from quartzlog.llm import _common
+
+    monkeypatch.setattr(_common, "HOT", 10)
+    rows = spark.createDataFrame([(k % 40 if k % 3 else 7, k) for k in range(900)], "g long, k long").repartition(3)
+    groups = rows.groupBy("g").count().selectExpr("g", "g * 2 as twice", "count as rows")
+    got = _common.join_groups(rows, groups, ["g"], 900)
+    assert sorted(map(tuple, got.collect())) == sorted((k % 40 if k % 3 else 7, k, 2 * (k % 40 if k % 3 else 7)) for k in range(900)) and got.columns == ["g", "k", "twice"]

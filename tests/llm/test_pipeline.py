@@ -54,14 +54,20 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert sorted(r["doc_id"] for r in rows["exact_dedup"]) == sorted(last.values())
 
     before = sorted(rows["exact_dedup"], key=lambda r: r["doc_id"])
-    prints = [simhash.fingerprint((r["text"] or "").encode(), 5, 42, 3) for r in before]
+    texts = [r["text"] or "" for r in before]
+    grams, prints = [], []
+    for t in texts:
+        w = t.encode().lower().split()
+        grams.append({b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+        prints.append(simhash.majorities(np.unique(simhash.shingles(t.encode(), 5)), 3))
     parts = [(w, s, (1 << b) - 1) for w in range(3) for s, b in simhash.layout(3)]
 
-    def linked(a, b):
-        near = sum((x ^ y).bit_count() for x, y in zip(a, b)) <= pipeline.NEAR["distance"]
-        return near and any(((a[w] ^ b[w]) >> s & m).bit_count() <= pipeline.NEAR["reach"] for w, s, m in parts)
+    def linked(x, y):
+        a, b = prints[x], prints[y]
+        near = sum((p ^ q).bit_count() for p, q in zip(a, b)) <= pipeline.NEAR["distance"] and any(((a[w] ^ b[w]) >> s & m).bit_count() <= pipeline.NEAR["reach"] for w, s, m in parts)
+        return near and len(grams[x] & grams[y]) >= 0.8 * len(grams[x] | grams[y])
 
-    root = components(prints, linked)
+    root = components(range(len(before)), linked)
     assert sorted(r["doc_id"] for r in rows["near_dedup"]) == [r["doc_id"] for k, r in enumerate(before) if root[k] == k]
 
     held = collections.Counter()
@@ -103,3 +109,21 @@ def test_mixed_rows_stand_in_the_order_of_the_mix(spark, tmp_path):
     want = [r["doc_id"] for r in mixing.mix(docs).orderBy(*order).collect()]
     got = [r["doc_id"] for r in pipeline.mix_sources(spark, docs, SF).collect()]
     assert got == want
+
+
+def test_stages_take_odd_rows(spark, tmp_path):
+    text = " ".join(f"w{k}" for k in range(80))
+    rows = [(None, None, "a"), (None, text, None), (1, "", "a"), (2, " \t", "a"), (3, text, "b"), (3, text, "b"), (4, text.upper(), "b"), (5, text + " more", "b"), (5, "other words here", None), (6, "x" * 200_000, "c"), (7, "y " * 60_000, "c")]
+    kind = "doc_id long, text string, source string, __id long, n long, score double, root string, rows long, fp long, mix_epoch long, part long"
+    for given in (rows, []):
+        docs = spark.createDataFrame([(*r, 1, 2, 0.5, "r", 3, 4, 5, 6) for r in given], kind).coalesce(2)
+        counts = []
+        for k, (name, stage) in enumerate(pipeline.STAGES):
+            out = stage(spark, docs, SF)
+            assert name == "packing" or out.columns == docs.columns
+            out.write.parquet(f"{tmp_path}/{len(given)}-{k}")
+            docs = spark.read.parquet(f"{tmp_path}/{len(given)}-{k}")
+            counts.append(docs.count())
+        if given:
+            assert counts[:3] == [11, 7, 5]
+        assert bool(counts[-1]) == bool(given)
