@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import durable, give_back, join_groups, mix, partitions, pick, raw, renamed
+from ._common import durable, give_back, join_groups, mix, partitions, pick, raw, renamed, settled
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 PROBES = 1 << 20
@@ -42,6 +42,7 @@ FLIPS = 16  # most rows of a fingerprint and segment before half of them are lef
 DIRECT = 22  # trailing bits up to which a table is addressed directly
 WIDE, HELD = 64, 1 << 22  # entries of a key that the first round reads; candidates that a task holds before it shortens them
 BROADCAST_ROWS = 1_000_000  # of two numbers
+ONE_TASK = 1 << 20  # links
 TRIES = 4  # candidates that a node hands in at first; four times as many each round after
 
 
@@ -310,10 +311,26 @@ def links(distinct: DataFrame, distance: int = RADIUS, words: int = 1, reach: in
     return dealt.repartition(n, "route").mapInArrow(_match(words, segments, lead, radius, distance), "a long, b long").distinct()
 
 
+def _join(batches):
+    """All links of a partition to (node, root) for each node that is no root."""
+    got = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches if len(b)]
+    if got:
+        a, b = (np.concatenate(x) for x in zip(*got))
+        nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        root = forest(at[: len(a)], at[len(a) :], len(nodes))
+        linked = np.flatnonzero(root != np.arange(len(nodes)))
+        yield pa.RecordBatch.from_pydict({"a": pa.array(nodes[linked], pa.int64()), "b": pa.array(nodes[root[linked]], pa.int64())})
+
+
 def components(pairs: DataFrame) -> DataFrame:
-    """(a, b): each node that is no root, and the root (smallest node) of its component."""
+    """(a, b): each node that is no root, and the root (smallest node) of its component.
+
+    Up to ONE_TASK links are joined by one task (some tens of MB); more by rounds of large and small stars.
+    """
     edges, before = durable(pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()), None
     total = edges.count()
+    if total <= ONE_TASK:
+        return durable(edges.coalesce(1).mapInArrow(_join, "a long, b long"))
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("rows"))
@@ -427,7 +444,7 @@ def similar(body: DataFrame, distinct: DataFrame, distance: int, shingle: int, w
         if roots is None:
             roots = body.sparkSession.createDataFrame([], "a long, b long")
         going = distinct.select("fp", *columns(words)).join(going_on, "fp").join(roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left")
-        going = durable(going.withColumn("root", F.coalesce("root", "fp")))
+        going = settled(going.withColumn("root", F.coalesce("root", "fp")))
         if not going.limit(1).count():
             return roots
         most, first = most * 4, False

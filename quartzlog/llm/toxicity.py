@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import LOWER, PUNCT, crc_mod, durable, mix, pick, raw, slices, span_hashes, training_sample, word_spans
+from ._common import LOWER, PUNCT, crc_mod, durable, give_back, mix, pick, raw, slices, span_hashes, training_sample, word_spans
 
 BITS = 20
 TRAIN_ROWS = 16000
@@ -223,9 +223,14 @@ def without_near_copies(signatures: list[list[int]], agree: int = 5) -> list[int
 def fold_weights(counts: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     """Weights from the rows outside each fold, and last from all rows. counts: by fold, label and bucket; sizes: by fold and label."""
 
+    some = np.flatnonzero(counts.any((0, 1)))  # all others have the weight of a form that was not seen
+
     def weights(use: list[int]) -> np.ndarray:
-        clean, toxic = counts[use].sum(0, dtype=np.float64)
-        return log_odds(toxic, clean, *sizes[use].sum(0)[::-1]).astype(np.float32)
+        clean, toxic = counts[use][:, :, some].sum(0, dtype=np.float64)
+        n_clean, n_toxic = sizes[use].sum(0)
+        out = np.full(counts.shape[2], log_odds(np.zeros(1), np.zeros(1), n_toxic, n_clean)[0], np.float32)
+        out[some] = log_odds(toxic, clean, n_toxic, n_clean)
+        return out
 
     every = list(range(FOLDS))
     return [weights([g for g in every if g != f]) for f in every] + [weights(every)]
@@ -296,7 +301,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int
     np.add.at(sizes, (np.arange(len(kept)) % FOLDS, [y[k] for k in kept]), 1)
     weights = fold_weights(counts.reshape(FOLDS, 2, -1), sizes)
     found = rows.mapInArrow(_totals(spark.sparkContext.broadcast(weights[:FOLDS])), "doc_id long, label int, n long, totals array<double>").toArrow().sort_by("doc_id")
-    return calibrated(weights[FOLDS], found["label"].to_numpy(), found["n"].to_numpy(), found["totals"].to_pylist())
+    model = calibrated(weights[FOLDS], found["label"].to_numpy(), found["n"].to_numpy(), found["totals"].to_pylist())
+    del heads, counts, got, found, weights
+    give_back()
+    return model
 
 
 def _scored(docs: DataFrame, model: Model, modulus: int, left_out: int, threshold: float, id_col: str, text_col: str, spans: bool) -> DataFrame:

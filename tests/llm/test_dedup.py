@@ -130,7 +130,9 @@ def test_links_of_a_given_reach_do_not_depend_on_size(spark, monkeypatch):
     assert found() == few and few
 
 
-def test_components_of_long_chains(spark):
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_components_of_long_chains(spark, monkeypatch, most):
+    monkeypatch.setattr(simhash, "ONE_TASK", most)
     chain = [(k, k + 1) for k in range(60)] + [(100, 101), (103, 102), (101, 103), (-5, -9)]
     got = {r["a"]: r["b"] for r in simhash.components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(1, 61)}, 101: 100, 102: 100, 103: 100, -5: -9}
