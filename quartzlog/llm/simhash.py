@@ -12,8 +12,9 @@ all segments differ in more than `reach` bits.
 drop_near_duplicates can also ask for a Jaccard similarity of the shingles. Fingerprints then stand for sets of shingles,
 and the links that the tables find are only candidates: each is checked on the two texts. A node hands in its nearest
 candidates, few at first; where there are more, the checked links' components are formed and the search goes on between
-nodes of different components, each from where its list ended, until no list has a rest. So a group of near copies of any
-size takes a few checks a member, no candidate is dropped, and no task holds a group.
+nodes of different components, each from where its list ended, until no list has a rest. Pairs that counts of their shingles
+by class rule out take no check then. So a group of near copies of any size takes a few checks a member, no similar candidate
+is missed, and no task holds a group's texts.
 
 Table and probes are dealt by a segment's leading bits. Balls over the trailing bits are enumerated inside the task;
 only flips of leading bits travel, as rows, and of two values only one to the other. A task reduces its verified links to a spanning forest before it emits them,
@@ -43,6 +44,7 @@ DIRECT = 22  # trailing bits up to which a table is addressed directly
 WIDE, HELD = 64, 1 << 22  # entries of a key that the first round reads; candidates that a task holds before it shortens them
 BROADCAST_ROWS = 1_000_000  # of two numbers
 ONE_TASK = 1 << 20  # links
+SHARE = 256  # pairs of a node that are checked together
 TRIES = 4  # candidates that a node hands in at first; four times as many each round after
 
 
@@ -229,13 +231,33 @@ def _match(words: int, segments: int, lead: int, radius: int, distance: int):
     return run
 
 
-STATE = ("root", "past", "past_other")  # a node's component, and the last candidate that it handed in
+#: A node's component, the last candidate that it handed in, its number of shingles, and how many of them fall into each of
+#: LANES classes, a byte each, eight in a column.
+LANES = 256
+STATE = ("root", "past", "past_other", "size", *(f"h{k}" for k in range(LANES // 8)))
 
 
-def _nearest(words: int, segments: int, lead: int, radius: int, distance: int, most: int, first: bool):
+def lanes(hashed: np.ndarray) -> np.ndarray:
+    """Counts of shingles by class; all 255 if one does not fit in a byte, which leaves overlaps unbounded."""
+    counts = np.bincount((mix(hashed) >> np.uint64(56)).astype(np.int64), minlength=LANES)
+    return np.minimum(counts if counts.max() < 256 else 255, np.full(LANES, 255)).astype(np.uint8)
+
+
+def can_be_similar(counts: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, jaccard: float) -> np.ndarray:
+    """Whether pairs can have the similarity: they have no more shingles in common than the lesser counts of each class add up to."""
+    out = np.empty(len(a), bool)
+    for k in range(0, len(a), 1 << 14):
+        x, y = a[k : k + (1 << 14)], b[k : k + (1 << 14)]
+        common = np.minimum(counts[x], counts[y]).sum(1, dtype=np.int64)
+        out[k : k + len(x)] = (common * (1 + jaccard) >= jaccard * (size[x] + size[y]) - 1e-6) | (np.minimum(size[x], size[y]) >= 255 * LANES)
+    return out
+
+
+def _nearest(words: int, segments: int, lead: int, radius: int, distance: int, jaccard: float, most: int, first: bool):
     """Candidates of one partition: (fp, other, bits, rest), for each node at most `most`, those of fewest differing bits and
     then of least number. In the first round keys of many entries are read in part; later, nodes of one component are no
-    candidates and a node's list begins after its past. rest: the node has further ones (other may be null then)."""
+    candidates, nor are those that cannot be similar by their counts of shingles, and a node's list begins after its past.
+    rest: the node has further ones (other may be null then)."""
 
     def run(batches):
         got = _gathered(batches, [*columns(words), *(() if first else STATE)])
@@ -243,6 +265,7 @@ def _nearest(words: int, segments: int, lead: int, radius: int, distance: int, m
             return
         route, key, left, nodes, node, value = got
         bits, state = [x.view(np.uint64) for x in value[:words]], value[words:]
+        counts = None if first else np.stack(state[4:], 1).view(np.uint8)
         rest = np.zeros(len(nodes), bool)
         held = [np.empty((3, 0), np.int64)]  # node, differing bits, other
 
@@ -268,6 +291,9 @@ def _nearest(words: int, segments: int, lead: int, radius: int, distance: int, m
             d = differing(bits, a, b)
             near = d <= distance
             a, b, d = a[near], b[near], d[near]
+            if not first:
+                able = can_be_similar(counts, state[3], a, b, jaccard)
+                a, b, d = a[able], b[able], d[able]
             x, d, y = np.concatenate([a, b]), np.concatenate([d, d]), np.concatenate([b, a])
             if not first:
                 later = (d > state[1][x]) | (d == state[1][x]) & (nodes[y] > state[2][x])
@@ -396,18 +422,34 @@ def _check(shingle: int, jaccard: float):
 
 
 def _checked(pairs: DataFrame, texts: DataFrame, shingle: int, jaccard: float, n: int) -> DataFrame:
-    """Pairs (a, b) whose texts' sets of shingles are similar. A node in many pairs is b there; its pairs are dealt by a salt,
-    each share with the text of b once."""
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(n)))
+    """Pairs (a, b) whose texts' sets of shingles are similar. A node in many pairs is b there; its pairs are dealt in
+    shares of about SHARE, each with the text of b once."""
+    held = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("rows"))
+    held = held.withColumn("shares", F.ceil(F.col("rows") / F.lit(SHARE)).cast("long"))
+    salted = join_groups(pairs, held, ["b"], pairs.count()).withColumn("salt", F.pmod(F.xxhash64("a"), F.col("shares"))).drop("shares")
     members = salted.join(texts.withColumnRenamed("fp", "a"), "a").select("b", "salt", "a", "text")
     hubs = salted.select("b", "salt").distinct().join(texts.withColumnRenamed("fp", "b"), "b").select("b", "salt", F.lit(None).cast("long").alias("a"), "text")
     rows = members.unionByName(hubs).repartition(n, "b", "salt").sortWithinPartitions("b", "salt", F.asc_nulls_first("a"))
     return rows.mapInArrow(_check(shingle, jaccard), "a long, b long")
 
 
-def _texts(pairs: DataFrame, distinct: DataFrame, body: DataFrame) -> DataFrame:
-    """(fp, text): a text of each node in the pairs."""
-    wanted = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
+def _counted(going: DataFrame, distinct: DataFrame, body: DataFrame, shingle: int) -> DataFrame:
+    """going with size and the counts by class."""
+    names = STATE[3:]
+
+    def run(batches):
+        for batch in batches:
+            sets = [np.unique(shingles(t.encode(), shingle)) for t in batch.column("text").to_pylist()]
+            found = np.array([lanes(x) for x in sets], np.uint8).reshape(-1, LANES).view(np.int64)
+            own = [batch.column("fp"), pa.array([len(x) for x in sets], pa.int64()), *(pa.array(found[:, k]) for k in range(LANES // 8))]
+            yield pa.RecordBatch.from_arrays(own, ["fp", *names])
+
+    return going.join(_texts(going.select("fp"), distinct, body).mapInArrow(run, "fp long, " + ", ".join(f"{c} long" for c in names)), "fp")
+
+
+def _texts(nodes: DataFrame, distinct: DataFrame, body: DataFrame) -> DataFrame:
+    """(fp, text): a text of each of these nodes (fp)."""
+    wanted = nodes.distinct()
     wanted = durable(wanted.join(distinct.select("fp", F.col("any_text").alias("text_hash")), "fp"))
     small = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     return durable(body.join(small, "text_hash").select("fp", "text").dropDuplicates(["fp"]))
@@ -426,7 +468,7 @@ def similar(body: DataFrame, distinct: DataFrame, distance: int, shingle: int, w
         more = () if first else STATE
         kind = ", ".join(f"{c} long" for c in ("fp", *columns(words), *more))
         dealt = going.mapInArrow(_deal(words, segments, lead, radius, more), f"route long, key long, left int, {kind}")
-        found = dealt.repartition(n, "route").mapInArrow(_nearest(words, segments, lead, radius, distance, most, first), "fp long, other long, bits long, rest boolean")
+        found = dealt.repartition(n, "route").mapInArrow(_nearest(words, segments, lead, radius, distance, jaccard, most, first), "fp long, other long, bits long, rest boolean")
         found = durable(found.groupBy("fp", "other", "bits").agg(F.max("rest").alias("rest")))
         own = Window.partitionBy("fp")
         ranked = found.withColumn("place", F.row_number().over(own.orderBy(F.asc_nulls_last("bits"), "other"))).withColumn("rest", F.max(F.col("rest") | (F.col("place") > most) & F.col("other").isNotNull()).over(own))
@@ -434,7 +476,7 @@ def similar(body: DataFrame, distinct: DataFrame, distance: int, shingle: int, w
         both = picked.where("other is not null").groupBy(F.least("fp", "other").alias("l"), F.greatest("fp", "other").alias("g")).agg(F.min("fp").alias("a"))
         pairs = durable(both.select("a", F.when(F.col("a") == F.col("l"), F.col("g")).otherwise(F.col("l")).alias("b")))
         if pairs.limit(1).count():
-            held = durable(_checked(pairs, _texts(pairs, distinct, body), shingle, jaccard, n))
+            held = durable(_checked(pairs, _texts(pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))), distinct, body), shingle, jaccard, n))
             links_ = held if links_ is None else durable(links_.unionByName(held))
             roots = components(links_)
         going_on = picked.where("rest").groupBy("fp").agg(F.max(F.struct(F.coalesce("bits", F.lit(-1)), F.coalesce("other", F.lit(0)))).alias("last"))
@@ -444,9 +486,10 @@ def similar(body: DataFrame, distinct: DataFrame, distance: int, shingle: int, w
         if roots is None:
             roots = body.sparkSession.createDataFrame([], "a long, b long")
         going = distinct.select("fp", *columns(words)).join(going_on, "fp").join(roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left")
-        going = settled(going.withColumn("root", F.coalesce("root", "fp")))
+        going = durable(going.withColumn("root", F.coalesce("root", "fp")))
         if not going.limit(1).count():
             return roots
+        going = settled(_counted(going, distinct, body, shingle))
         most, first = most * 4, False
 
 

@@ -297,3 +297,15 @@ def test_groups_are_joined_whole_whatever_their_size(spark, monkeypatch):
     groups = rows.groupBy("g").count().selectExpr("g", "g * 2 as twice", "count as rows")
     got = _common.join_groups(rows, groups, ["g"], 900)
     assert sorted(map(tuple, got.collect())) == sorted((k % 40 if k % 3 else 7, k, 2 * (k % 40 if k % 3 else 7)) for k in range(900)) and got.columns == ["g", "k", "twice"]
+
+
+def test_pairs_are_ruled_out_only_if_they_cannot_be_similar():
+    rng = np.random.default_rng(5)
+    sets = [rng.integers(0, 1 << 62, n).astype(np.uint64) for n in (0, 1, 40, 150, 150, 3000, 70_000)]
+    sets += [np.unique(np.concatenate([s[len(s) // 9 :], rng.integers(0, 1 << 62, len(s) // 12).astype(np.uint64)])) for s in sets]
+    sets = [np.unique(s) for s in sets]
+    counts, size = np.array([simhash.lanes(s) for s in sets]), np.array([len(s) for s in sets])
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    able = simhash.can_be_similar(counts, size, a, b, 0.8)
+    alike = np.array([len(np.intersect1d(sets[x], sets[y])) / max(1, len(np.union1d(sets[x], sets[y]))) if size[x] + size[y] else 1.0 for x, y in zip(a, b)])
+    assert able[alike >= 0.8].all() and not able[(alike < 0.2) & (size[a] + size[b] < 400)].any()
