@@ -44,6 +44,7 @@ DIRECT = 22  # trailing bits up to which a table is addressed directly
 WIDE, HELD = 64, 1 << 22  # entries of a key that the first round reads; candidates that a task holds before it shortens them
 BROADCAST_ROWS = 1_000_000  # of two numbers
 ONE_TASK = 1 << 20  # links
+ROUTE_ROWS = 1 << 15  # nodes of a later round for a task
 SHARE = 256  # pairs of a node that are checked together
 TRIES = 4  # candidates that a node hands in at first; four times as many each round after
 
@@ -487,8 +488,10 @@ def similar(body: DataFrame, distinct: DataFrame, distance: int, shingle: int, w
             roots = body.sparkSession.createDataFrame([], "a long, b long")
         going = distinct.select("fp", *columns(words)).join(going_on, "fp").join(roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left")
         going = durable(going.withColumn("root", F.coalesce("root", "fp")))
-        if not going.limit(1).count():
+        left = going.count()
+        if not left:
             return roots
+        lead = min(_lead(n, words, segments, radius), max(1, (left // ROUTE_ROWS).bit_length()))  # no more flips than the rows need
         going = settled(_counted(going, distinct, body, shingle))
         most, first = most * 4, False
 
