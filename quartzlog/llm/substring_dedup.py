@@ -37,8 +37,9 @@ from ._common import mix, partitions, settled
 from ._suffix import anchors, common_prefixes, suffix_array, words_at
 
 LENGTH, GRAM = 50, 24
-KEY_BITS, SALT = 48, np.uint64(0xA0761D6478BD642F)
+KEY_BITS, SALT = 44, np.uint64(0xA0761D6478BD642F)
 BLOCK_BYTES = 4 << 20
+BLOCKS_A_BUCKET = 4  # an owner of a bucket gets about as much as this many blocks send
 LOWEST = -(1 << 63)
 
 
@@ -319,8 +320,8 @@ def _runs(gone: np.ndarray, opens: np.ndarray, at: np.ndarray) -> pa.Array:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans for every document."""
     n = partitions(docs)
-    buckets = 4 * n  # an owner's work is bounded by a bucket's
     packed = blocks(docs, id_col, text_col, BLOCK_BYTES)
+    buckets = max(n, -(-packed.count() // BLOCKS_A_BUCKET))  # so a bucket's size stays the same, whatever the input
     recurring = settled(by_key(packed.mapInArrow(_ask(buckets, length, gram), "bucket int, block long, keys binary, several binary"), n, "bucket", "block").mapInArrow(_recurring, "block long, bucket int, payload binary"))
     runs = with_replies(packed, recurring, n).mapInArrow(_shard(buckets, length, gram), RUN)
     answers = by_key(runs.withColumn("to", F.when(F.col("bucket") < 0, F.xxhash64("block")).otherwise(F.col("bucket"))), n, "to", "bucket", "block").drop("to").mapInArrow(_merge(length, gram), RUN)
