@@ -251,12 +251,12 @@ def txn_last_version(spark, sf_dir):
 
 @query("SELECT event_id, event_type FROM events WHERE event_type = 'signup' ORDER BY ts DESC, event_id DESC LIMIT 1")
 def metadata_last_wins(spark, sf_dir):
+    """Signups as metadata among all other events; the last one is in force."""
     kind = SCHEMA["metaData"].dataType
     given = {"id": F.col("event_id").cast("string"), "name": F.col("event_type")}
-    meta = F.struct(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.fields))
-    rows = rows_of_kind(read(spark, sf_dir, "events").where("event_type = 'signup'"), "metaData", meta)
-    at = F.struct("version", "pos")
-    return rows.agg(F.max_by("metaData", at).alias("m")).select(F.col("m.id").cast("long").alias("event_id"), F.col("m.name").alias("event_type"))
+    meta = F.when(F.col("event_type") == "signup", F.struct(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.fields)))
+    found = replay.latest(rows_of_kind(read(spark, sf_dir, "events"), "metaData", meta))[1]
+    return spark.createDataFrame([(int(found["id"]), found["name"])] if found else [], "event_id long, event_type string")
 
 
 # history
@@ -280,17 +280,36 @@ def change_log_by_version(spark, sf_dir):
     return rows.groupBy("version").agg(F.count("add.path").alias("adds"), F.count("remove.path").alias("removes"))
 
 
-@query("WITH d AS (SELECT DISTINCT user_id, ts::DATE AS day FROM events) SELECT user_id, day, date_diff('day', day, next) - 1 AS missing FROM (SELECT *, lead(day) OVER (PARTITION BY user_id ORDER BY day) AS next FROM d) WHERE next > day + 1")
+@query("SELECT user_id % 500 AS log, max(ts::DATE) - min(ts::DATE) + 1 = count(DISTINCT ts::DATE) AS contiguous FROM events GROUP BY 1")
 def gap_detection(spark, sf_dir):
-    days = read(spark, sf_dir, "events").select("user_id", F.col("ts").cast("date").alias("day")).distinct()
-    following = days.withColumn("next", F.lead("day").over(Window.partitionBy("user_id").orderBy("day")))
-    return following.select("user_id", "day", (F.datediff("next", "day") - 1).cast("long").alias("missing")).where("missing > 0")
+    """500 logs with a commit for each day that has events of theirs: which of them lack a version in between."""
+    from ..errors import VersionsNotContiguous
+    from ..operators.segment import check_contiguous
 
+    day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
+    logs = read(spark, sf_dir, "events").groupBy((F.col("user_id") % 500).alias("log")).agg(F.sort_array(F.collect_set(day)).alias("versions")).collect()
 
-@query("SELECT user_id, ts::DATE AS day, 3 AS parts FROM events GROUP BY 1, 2 HAVING count(DISTINCT event_id % 3) = 3")
+    def whole(versions) -> bool:
+        try:
+            check_contiguous(versions)
+        except VersionsNotContiguous:
+            return False
+        return True
+
+    return spark.createDataFrame([(r["log"], whole(r["versions"])) for r in logs], "log long, contiguous boolean")
+
+
+@query("SELECT date_diff('day', DATE '2024-01-01', ts::DATE) AS version, 20::INT AS parts FROM events WHERE event_type = 'error' GROUP BY 1 HAVING count(DISTINCT event_id % 20) = 20")
 def checkpoint_completeness(spark, sf_dir):
-    parts = read(spark, sf_dir, "events").select("user_id", F.col("ts").cast("date").alias("day"), (F.col("event_id") % 3).alias("part"))
-    return parts.groupBy("user_id", "day").agg(F.countDistinct("part").cast("int").alias("parts")).where("parts = 3")
+    """A listing with a checkpoint part for each day and remainder of its errors: the complete checkpoints in it."""
+    from ..operators.segment import complete_checkpoints
+    from ..paths import checkpoint_names
+    from ..sources.store import FileMeta
+
+    day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")).alias("version")
+    parts = read(spark, sf_dir, "events").where("event_type = 'error'").select(day, (F.col("event_id") % 20).cast("int").alias("part")).distinct().collect()
+    files = [FileMeta(f"x/{checkpoint_names(r['version'], 20)[r['part']]}", 0, 1) for r in parts]
+    return spark.createDataFrame([(c.version, c.parts) for c in complete_checkpoints(files)], "version long, parts int")
 
 
 @query("SELECT * FROM orders")
@@ -340,26 +359,70 @@ def conflict_append(spark, sf_dir):
     return hit.agg(F.count(F.lit(1)).alias("conflicts"))
 
 
-def _sets(spark, sf_dir):
-    events = read(spark, sf_dir, "events")
-    mine = events.where("event_type = 'view' and ts < timestamp_ntz'2024-01-03'").select("user_id").distinct()
-    theirs = events.where("event_type = 'error' and ts >= timestamp_ntz'2024-01-03' and ts < timestamp_ntz'2024-01-05'").select("user_id").distinct()
-    return mine, theirs
+def _conflicts(spark, sf_dir, winner, mine=lambda kind: [], read_set=None) -> DataFrame:
+    """Per order priority the conflict that the sweep finds with a commit about it: p, conflict."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from ..errors import ConcurrentModification
+    from ..operators.conflict import SERIALIZABLE, ReadSet, Winner, check
 
+    kinds = sorted(r[0] for r in read(spark, sf_dir, "orders").select("o_orderpriority").distinct().collect())  # five
+    out = []
+    for kind in kinds:
+        try:
+            check(spark, Winner.of([winner(kind)]), mine(kind), read_set or ReadSet(), StructType([StructField("p", StringType())]), SERIALIZABLE)
+            out.append((kind, None))
+        except ConcurrentModification as e:
+            out.append((kind, type(e).__name__))
+    return spark.createDataFrame(out, "p string, conflict string")
 
-_SETS = "WITH mine AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'view' AND ts < TIMESTAMP '2024-01-03'), theirs AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-05') "
 
+def _conflict_sql(name: str, condition: str) -> str:
+    return f"SELECT DISTINCT o_orderpriority AS p, CASE WHEN {condition} THEN '{name}' END AS conflict FROM orders"
 
-@query(_SETS + "SELECT user_id FROM mine WHERE user_id IN (SELECT user_id FROM theirs)")
+
+@query(_conflict_sql("ConcurrentDeleteRead", "o_orderpriority < '3'"))
 def conflict_delete_read(spark, sf_dir):
-    mine, theirs = _sets(spark, sf_dir)
-    return mine.join(theirs, "user_id", "left_semi")
+    """Another transaction removes a priority's file; this one has read those below 3."""
+    from ..actions import Remove
+    from ..operators.conflict import ReadSet
+    from ..paths import canonical
+
+    own = ReadSet(files={canonical(r[0]) for r in read(spark, sf_dir, "orders").select("o_orderpriority").distinct().collect() if r[0] < "3"})
+    return _conflicts(spark, sf_dir, lambda kind: Remove(kind, 1), read_set=own)
 
 
-@query(_SETS + "SELECT user_id FROM mine INTERSECT SELECT user_id FROM theirs")
+@query(_conflict_sql("ConcurrentDeleteDelete", "o_orderpriority < '3'"))
 def conflict_delete_delete(spark, sf_dir):
-    mine, theirs = _sets(spark, sf_dir)
-    return mine.intersect(theirs)
+    """Another transaction removes a priority's file; this one removes those below 3."""
+    from ..actions import Remove
+
+    return _conflicts(spark, sf_dir, lambda kind: Remove(kind, 1), lambda kind: [Remove(kind, 2)] if kind < "3" else [Remove("other", 2)])
+
+
+@query(_conflict_sql("ConcurrentTransaction", "o_orderpriority >= '3'"))
+def conflict_transaction(spark, sf_dir):
+    """Another transaction commits for an application named by a priority; this one has read those from 3 on."""
+    from ..operators.conflict import ReadSet
+
+    own = ReadSet(app_ids={r[0] for r in read(spark, sf_dir, "orders").select("o_orderpriority").distinct().collect() if r[0] >= "3"})
+    return _conflicts(spark, sf_dir, lambda kind: Txn(kind, 1), read_set=own)
+
+
+@query(_conflict_sql("MetadataChanged", "o_orderpriority < '2'"))
+def conflict_metadata(spark, sf_dir):
+    """Another transaction changes the metadata, or only adds a file that this one has not read."""
+    from ..actions import Add, Metadata
+
+    return _conflicts(spark, sf_dir, lambda kind: Metadata() if kind < "2" else Add(kind, {"p": kind}))
+
+
+@query(_conflict_sql("ProtocolChanged", "o_orderpriority < '2'"))
+def conflict_protocol(spark, sf_dir):
+    """Another transaction writes the protocol as this one does, or only this one does."""
+    from ..actions import Add, Protocol
+
+    return _conflicts(spark, sf_dir, lambda kind: Protocol() if kind < "2" else Add(kind, {"p": kind}), lambda kind: [Protocol()])
 
 
 @query("SELECT * FROM nation")
