@@ -6,7 +6,8 @@ string is broken by a backslash after its first character, so no text can forge
 Every assistant turn is the target of its own example and all turns before it are the context. Contexts nest, so an
 example row holds only what its context adds to the previous example (`added`) and the place where the context ends
 (`context_chars`); the table stays as large as the input even if one conversation holds a third of the rows.
-`with_contexts` writes the contexts out in full. Turns after the last reply form a row without target.
+`with_contexts` writes the contexts out in full, and `read_back` reads examples so expanded. Turns after the last reply form
+a row without target.
 
 Cases: null text or role counts as empty; turns sort by turn, then role, then text, a null turn first; repeated rows are
 turns of their own; null conv_id is a conversation; an empty table gives no rows; other columns are not read.
@@ -59,19 +60,28 @@ def expand_targets(conversations: DataFrame, **columns: str) -> DataFrame:
     return rows.withColumn("loss_start", F.when(F.col("target").isNotNull(), F.col("context_chars") + F.instr("target", SEP) - 1 + len(SEP))).withColumn("loss_end", F.when(F.col("target").isNotNull(), F.col("formatted_chars") - len(END)))
 
 
-def with_contexts(examples: DataFrame) -> DataFrame:
-    """conv_id, example_no, context, target with each context in full: as many characters as the square of a conversation's."""
+def _whole(examples: DataFrame) -> DataFrame:
+    """Each example with its context in full."""
     earlier = Window.partitionBy("conv_id").orderBy("example_no").rowsBetween(Window.unboundedPreceding, -1)
     text = F.concat("added", F.coalesce(F.col("target"), F.lit("")))
-    full = examples.withColumn("context", F.concat(F.array_join(F.collect_list(text).over(earlier), ""), F.col("added")))
-    return full.where("target is not null").select("conv_id", "example_no", "context", "target")
+    return examples.withColumn("context", F.concat(F.array_join(F.collect_list(text).over(earlier), ""), F.col("added")))
+
+
+def with_contexts(examples: DataFrame) -> DataFrame:
+    """conv_id, example_no, context, target, loss_start, loss_end with each context in full: as many characters as the square
+    of a conversation's."""
+    return _whole(examples).where("target is not null").select("conv_id", "example_no", "context", "target", "loss_start", "loss_end")
 
 
 def read_back(examples: DataFrame) -> DataFrame:
-    """Per conversation, from the formatted rows alone: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
-    row = F.struct("example_no", F.concat("added", F.coalesce(F.col("target"), F.lit(""))).alias("text"), F.substring(F.col("target"), F.col("loss_start") - F.col("context_chars") + 1, F.col("loss_end") - F.col("loss_start")).alias("loss"))
-    whole = examples.groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("rows"))
-    whole = whole.select("conv_id", F.array_join(F.transform("rows", lambda r: r["text"]), "").alias("text"), unescape(F.array_join(F.transform(F.filter("rows", lambda r: r["loss"].isNotNull()), lambda r: r["loss"]), "")).alias("loss"))
+    """Per conversation, from the whole examples (context and target): n_turns, turns_sha256, loss_chars, loss_sha256,
+    formatted_chars. The loss is cut from every example's own text by its span, the turns are read from the last one's, which
+    has all of them. Examples are written out and read within a task; only their losses and the last text are gathered."""
+    last = F.lead("example_no").over(Window.partitionBy("conv_id").orderBy("example_no")).isNull()
+    text = F.concat("context", F.coalesce(F.col("target"), F.lit("")))
+    rows = _whole(examples).withColumn("last", last).select("conv_id", "example_no", F.when(F.col("last"), text).alias("text"), F.substring(text, F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start")).alias("loss"))
+    told = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("example_no", "loss"))).alias("rows"), F.max("text").alias("text"))
+    whole = told.select("conv_id", "text", unescape(F.array_join(F.transform("rows", lambda r: r["loss"]), "")).alias("loss"))
     marked = F.filter(F.split("text", r"\Q" + END + r"\E"), lambda s: s != "")
     part = lambda s, k: unescape(F.get(F.split(s, r"\Q" + SEP + r"\E"), F.lit(k)))
     told = F.transform(F.col("turns"), lambda s: F.concat(part(F.substring(s, len(START) + 1, 1 << 30), 0), F.lit("\n"), part(s, 1), F.lit("\n")))
