@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..actions import SCHEMA, Operation, Txn
-from ..config import FixedClock
 from ..functions import predicate as P
 from ..operators import replay
 from ..operators.conflict import added_files
 from ..operators.snapshot import matching
+from ..paths import commit_name, join
 from ..scratch import folder
 from ..table import TableLog
 
@@ -21,6 +21,7 @@ _built: dict[tuple, TableLog] = {}
 _queries: dict = {}
 _oracles: dict[str, str] = {}
 HOUR = 3_600_000
+START = 1_704_067_200_000  # 2024-01-01
 
 
 def query(sql: str | None = None):
@@ -70,10 +71,20 @@ def orders_log(spark: SparkSession, sf_dir: str) -> TableLog:
             t.append(rows.where(F.col("o_orderstatus") == status).coalesce(4), ["o_orderstatus"])
         t.delete(P.col("o_orderstatus") == "P")
         t.append(rows.where("o_orderstatus = 'P'").coalesce(4))
+        set_times(t)
 
     return built(spark, sf_dir, "orders", make)
 
 
+def set_times(t: TableLog) -> None:
+    """Date the commit files an hour apart, from START on."""
+    path = t.spark._jvm.org.apache.hadoop.fs.Path
+    conf = t.spark._jsparkSession.sessionState().newHadoopConf()
+    for c in t.commits():
+        at = path(join(t.store.folder, commit_name(c.version)))
+        at.getFileSystem(conf).setTimes(at, START + HOUR * c.version, -1)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem through the log: partition l_returnflag = 'R' pruned, quantity > 30 pushed into the Parquet scan."""
     return lineitem_log(spark, sf_dir).to_df((P.col("l_returnflag") == "R") & (P.col("l_quantity") > 30.0))
@@ -104,10 +115,7 @@ def time_travel_version(spark, sf_dir):
 
 @query("SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O')")
 def time_travel_timestamp(spark, sf_dir):
-    t = orders_log(spark, sf_dir)
-    times = {c.version: c.timestamp for c in t.commits()}
-    at = max(v for v in times if times[v] == times[1])  # file systems may keep coarse times
-    return t.to_df(timestamp=times[1]) if at == 1 else t.to_df(version=1)
+    return orders_log(spark, sf_dir).to_df(timestamp=START + HOUR + HOUR // 2)
 
 
 @query("SELECT 3 AS active_files, 0 AS transactions, 5 AS commits, 4 AS version")
@@ -483,17 +491,24 @@ def commit_info(spark, sf_dir):
     return info.select("commitInfo.operation", F.col("version").cast("int").alias("version"), F.col("commitInfo.readVersion").cast("int").alias("read_version"))
 
 
-@query("SELECT 0 AS before_second, 1 AS at_second, 1 AS after_first, 2 AS last")
+@query("""WITH c AS (SELECT ts::DATE AS day, max(ts) AS t, row_number() OVER (ORDER BY ts::DATE) - 1 AS version FROM events GROUP BY 1)
+    SELECT day, (SELECT coalesce(max(version), 0) FROM c WHERE epoch_ms(c.t) <= epoch_ms(d.day + INTERVAL 12 HOUR)) AS version,
+           (SELECT min(version) FROM c WHERE epoch_ms(c.t) >= epoch_ms(d.day::TIMESTAMP)) AS next_version FROM c d""")
 def version_by_time(spark, sf_dir):
-    """Commit times are set a second apart by a fixed clock's worth of listing."""
+    """A listing with a commit at each day's last event: the version in force at every noon (the first one before it), and the
+    first at or after every midnight."""
     from ..operators import history
     from ..sources.store import FileMeta
 
-    files = [FileMeta(f"x/{v:020d}.json", 1000 * v, 1) for v in range(3)]
-    at = lambda ms, **k: history.commit_at(files, ms, **({"last_allowed": True, "reproducible": False, "first_allowed": True} | k)).version
-    clock = FixedClock(1000)
-    after = history.commit_at(files, 500, False, False, True)
-    return spark.createDataFrame([(at(999), at(clock.now_ms()), after.version + (after.timestamp < 500), at(9999))], "before_second int, at_second int, after_first int, last int")
+    days = read(spark, sf_dir, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(F.max("ts").alias("t")).orderBy("day")
+    days = days.select("day", F.unix_millis(F.col("t").cast("timestamp")).alias("t"), F.unix_millis(F.col("day").cast("timestamp")).alias("midnight")).collect()
+    files = [FileMeta(f"x/{v:020d}.json", r["t"], 1) for v, r in enumerate(days)]
+    out = []
+    for r in days:
+        noon = history.commit_at(files, r["midnight"] + 12 * HOUR, True, False, True).version
+        c = history.commit_at(files, r["midnight"], True, False, True)
+        out.append((r["day"], noon, c.version if c.timestamp >= r["midnight"] else c.version + 1))
+    return spark.createDataFrame(out, "day date, version long, next_version long")
 
 
 # tables as frames: the rest of Spark SQL applies
@@ -531,3 +546,5 @@ sql_over_log("log_top", "SELECT o_orderkey, o_totalprice FROM {orders} ORDER BY
 sql_over_log("log_left_join", "SELECT c_custkey, count(o_orderkey) AS n FROM {customer} LEFT JOIN {orders} ON o_custkey = c_custkey GROUP BY c_custkey")
 sql_over_log("log_cte_subquery", "WITH t AS (SELECT o_custkey, count(*) AS n FROM {orders} GROUP BY o_custkey) SELECT o_custkey, n FROM t WHERE n > (SELECT avg(n) FROM t)")
 sql_over_log("log_distinct", "SELECT count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_partkey) AS parts FROM {lineitem} WHERE l_returnflag = 'R'")
+sql_over_log("log_union", "SELECT o_custkey AS k FROM {orders} WHERE o_orderstatus = 'P' UNION SELECT c_custkey FROM {customer} WHERE c_mktsegment = 'BUILDING'")
+sql_over_log("log_intersect", "SELECT o_custkey AS k FROM {orders} WHERE o_orderstatus = 'F' INTERSECT SELECT o_custkey FROM {orders} WHERE o_orderstatus = 'O'")
