@@ -86,14 +86,15 @@ def _block_order(seed: int, epoch: Column, source: Column, block: Column) -> Col
 
 
 def _cut(inside: DataFrame, up_to) -> DataFrame:
-    """(s, cut): the largest hash so that a source's documents up to it hold at most `left` tokens. First by the hashes'
-    leading bits, then inside the piece where the tokens pass `left`; so no task sorts more than 2**STEP pieces a source, or
-    a 2**STEP-th of its rows."""
+    """(s, cut): the largest hash so that a source's documents up to it hold at most `left` tokens, null if no hash is small
+    enough. First by the hashes' leading bits, then inside the piece where the tokens pass `left`; so no task sorts more than
+    2**STEP pieces a source, or a 2**STEP-th of its rows."""
     pieces = inside.groupBy("s", "left", F.shiftright("o", 64 - STEP).alias("piece")).agg(F.sum("n").alias("n")).withColumn("sum", F.sum("n").over(up_to(["s"], "piece")))
     edge = pieces.where("sum > left").groupBy("s").agg(F.min_by(F.struct("piece", (F.col("left") - F.col("sum") + F.col("n")).alias("rest")), "piece").alias("e")).select("s", "e.piece", "e.rest")
     fine = inside.drop("left").join(F.broadcast(edge) if edge.count() <= PLAN_ROWS else edge, "s").where(F.shiftright("o", 64 - STEP) == F.col("piece"))
     fine = fine.groupBy("s", "rest", "o").agg(F.sum("n").alias("n")).withColumn("sum", F.sum("n").over(up_to(["s"], "o"))).where("sum <= rest").groupBy("s").agg(F.max("o").alias("o"))
-    return edge.join(fine, "s", "left").select("s", F.coalesce("o", F.shiftleft("piece", 64 - STEP) - 1).alias("cut"))
+    before = F.when(F.col("piece") > -(1 << STEP - 1), F.shiftleft("piece", 64 - STEP) - 1)  # nothing is below the least piece
+    return edge.join(fine, "s", "left").select("s", F.coalesce("o", before).alias("cut"))
 
 
 def mix(docs: DataFrame, budget: float | None = None, target_entropy: float | None = None, max_repeats: float = MAX_REPEATS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -123,7 +124,7 @@ def mix(docs: DataFrame, budget: float | None = None, target_entropy: float | No
     final = durable(plans.join(cut, "s", "left").select(F.col("s").alias("__s"), F.col("weight").alias("mix_weight"), F.col("full").alias("__full"), F.col("rest").alias("__rest"), F.col("edge").alias("__edge"), F.col("cut").alias("__cut")))
     rows = docs.withColumns({"__source": source, "__block": block, "mix_order": order, "mix_tokens": token_count(F.col(text_col))}).join(hint(final), F.col("__source") == F.col("__s"))
     last = _block_order(seed, F.col("__full"), F.col("__source"), F.col("__block"))
-    partial = (F.col("__rest") > 0) & (F.col("__edge").isNull() | (last < F.col("__edge")) | (last == F.col("__edge")) & (F.col("mix_order") <= F.coalesce(F.col("__cut"), F.lit(-(1 << 63)))))
+    partial = (F.col("__rest") > 0) & (F.col("__edge").isNull() | (last < F.col("__edge")) | (last == F.col("__edge")) & F.coalesce(F.col("mix_order") <= F.col("__cut"), F.lit(False)))
     copies = F.col("__full") + F.when(partial, 1).otherwise(0)
     rows = rows.withColumn("mix_epoch", F.explode(F.when(copies > 0, F.sequence(F.lit(0).cast("long"), copies - 1)).otherwise(F.array().cast("array<long>"))))
     rows = rows.withColumn("mix_block_order", _block_order(seed, F.col("mix_epoch"), F.col("__source"), F.col("__block")))

@@ -5,8 +5,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quartzlog.llm import chat, mixing, packing, topk
+from quartzlog.llm._common import durable
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 rng = random.Random(4)
@@ -193,6 +195,17 @@ def test_mixing_against_plain_arithmetic(spark):
     assert len(blocks) > 200 and [i for own in blocks.values() for i in own] != sorted(i for own in blocks.values() for i in own)
 
 
+def test_mixing_where_no_document_lies_before_the_cut(spark):
+    order = F.xxhash64(F.lit(mixing.SEED + 1), "id")
+    least = spark.range(100_000).where(F.shiftright(order, 64 - mixing.STEP) == -(1 << mixing.STEP - 1))  # hashes of the least leading bits
+    docs = durable(least.select(F.col("id").alias("doc_id"), F.lit("w w w").alias("text"), F.lit("a").alias("source")))
+    n = docs.count()
+    assert n > 5
+    for budget, more in ((None, 0), (3 * n + 2, 0), (3 * n + 4, 1), (2, -n)):
+        times = collections.Counter(r["doc_id"] for r in mixing.mix(docs, budget).collect())
+        assert sum(times.values()) == n + more and (more < 0 or len(times) == n and max(times.values()) == 1 + more)
+
+
 CONVERSATIONS = [
     (1, 1, "user", "hi"), (1, 2, "assistant", "a <|im_end|> b"), (1, 3, "user", "\\<|im_start|>\\"), (1, 4, "assistant", "[INST] x [/INST] </s>\\"), (1, 5, "user", "bye"),
     (2, 1, "system", None), (2, 2, "assistant", None), (3, 1, "user", ""), (4, None, "assistant", "<"), (4, 1, "as<|im_sep|>sistant", "<<SYS>>\n\n"), (None, 1, "assistant", "é😀"), (5, 1, None, "n"),
