@@ -180,8 +180,10 @@ class WordTokenizer:
         low[lead], low[lead + 1] = 0xC0 | small >> 6, 0x80 | small & 63
         plain[lead] = plain[lead + 1] = True
         begin, end = word_spans(body, at)
-        foreign = np.concatenate([[0], np.cumsum(~plain, dtype=np.int32)])
+        foreign = np.zeros(len(body) + 1, np.int32)
+        np.cumsum(~plain, out=foreign[1:])
         odd = foreign[end] > foreign[begin]
+        del foreign, plain  # here and below: arrays many times the slice's size go when read
         kind = KIND[low]
         starts = np.zeros(len(body) + 1, bool)
         starts[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
@@ -192,6 +194,7 @@ class WordTokenizer:
         starts &= np.cumsum(change, dtype=np.int8) == 0
         starts[begin] = True
         first = np.flatnonzero(starts[:-1])
+        del kind, starts, change
         word = np.searchsorted(begin, first, "right") - 1
         last = np.minimum(np.append(first[1:], len(body)), end[word]) if len(first) else first
         size = last - first
@@ -201,13 +204,15 @@ class WordTokenizer:
         flat = [np.empty(0, np.uint32)]
         if len(fast):
             shown = np.lib.stride_tricks.sliding_window_view(np.concatenate([low, np.zeros(WIDTH, np.uint8)]), WIDTH)[first[fast]]
-            shown = shown * (np.arange(WIDTH) < size[fast, None])
+            shown *= np.arange(WIDTH) < size[fast, None]
             coded = pa.FixedSizeBinaryArray.from_buffers(pa.binary(WIDTH), len(fast), [None, pa.py_buffer(shown)]).dictionary_encode()
             pieces = np.frombuffer(coded.dictionary.buffers()[1], np.uint8, len(coded.dictionary) * WIDTH).reshape(-1, WIDTH)
+            which = coded.indices.to_numpy()
+            del shown, coded
             ids, count = self.merge(pieces, (pieces > 0).sum(1))
             flat.append(ids[np.arange(WIDTH) < count[:, None]])
-            which = coded.indices.to_numpy()
             n_at[fast], start_at[fast] = count[which], (np.cumsum(count) - count)[which]
+            del ids, pieces, which
         rest = np.flatnonzero(slow)
         if len(rest):
             data, number = body.tobytes(), {}
@@ -219,10 +224,13 @@ class WordTokenizer:
         flat = np.concatenate(flat)
         total = np.concatenate([[0], np.cumsum(n_at)])
         ends = total[np.searchsorted(first, at[1:])] + np.arange(1, len(at))
+        del low, first, word, last, size, slow, fast, rest
         out = np.full(total[-1] + len(at) - 1, end_id, np.uint32)
         inner = np.ones(len(out), bool)
         inner[ends - 1] = False
-        out[inner] = flat[np.repeat(start_at - total[:-1], n_at) + np.arange(total[-1])]
+        place = np.repeat(start_at - total[:-1], n_at)
+        place += np.arange(total[-1])
+        out[inner] = flat[place]
         return out, np.concatenate([[0], ends])
 
 
@@ -238,6 +246,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "d
 
     def run(batches):
         tool, part, pos = tokenizer(path), TaskContext.get().partitionId(), 0
+        give_back()  # what earlier tasks have left in this worker
         wide = "<u2" if tool.whole.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else "<u4"
         for batch in batches:
             _, at = raw(batch.column("text"))
